@@ -1,0 +1,8 @@
+"""Streaming.
+
+The jobs this library rebuilds are batch jobs and define no streaming
+operator (no watermark, window or state). The contract and load-column
+operators run no action, so they can be applied to a streaming DataFrame
+(``spark.readStream...csv(...)``) unchanged; nothing else is provided here
+on purpose.
+"""
