@@ -55,7 +55,12 @@ def write_table(
     mode: str | None = APPEND,
     table_format: str = DEFAULT_FORMAT,
 ) -> str:
-    """Append to (creating it empty first if missing) or overwrite ``name``."""
+    """Append to or overwrite ``name``.
+
+    A missing table is created with ``df``'s schema by the append itself (the
+    same table an explicit empty create followed by an append would give,
+    without the extra job).
+    """
     m = normalise_mode(mode)
     if m == OVERWRITE:
         logger.warning("Overwriting table %s", name)
@@ -67,7 +72,6 @@ def write_table(
         )
         return name
     if not table_exists(df.sparkSession, name):
-        logger.info("Creating empty table %s", name)
-        create_empty_table(df, name, table_format)
+        logger.info("Creating table %s", name)
     df.write.format(table_format).mode(APPEND).saveAsTable(name)
     return name

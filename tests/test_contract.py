@@ -1,0 +1,158 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.operators.contract import apply_contract, contract_report, parse_contract
+
+
+def rows(df, *cols):
+    return [tuple(r[c] for c in cols) for r in df.orderBy(cols[0]).collect()]
+
+
+def test_lenient_cast_to_long(spark):
+    df = spark.createDataFrame([(1, "1"), (2, "x"), (3, " 3 ")], "k int, v string")
+    out = apply_contract(df, [{"name": "v", "type": "long", "nullable": True}])
+    assert rows(out, "k", "v") == [(1, 1), (2, None), (3, 3)]
+    assert dict(out.dtypes)["v"] == "bigint"
+
+
+def test_lenient_cast_to_decimal(spark):
+    df = spark.createDataFrame([(1, "2.345"), (2, "abc"), (3, "12345678901.00")], "k int, v string")
+    out = apply_contract(df, [{"name": "v", "type": "decimal(12,2)", "nullable": True}])
+    assert rows(out, "k", "v") == [(1, Decimal("2.35")), (2, None), (3, None)]
+
+
+def test_lenient_date_transform(spark):
+    df = spark.createDataFrame([(1, "2024-01-05"), (2, "bad"), (3, "2024-13-01")], "k int, d string")
+    rule = {"name": "d", "type": "date", "nullable": True, "transform_sql": "to_date(d)", "date_format": "yyyy-mm-dd"}
+    out = apply_contract(df, [rule])
+    assert rows(out, "k", "d") == [(1, dt.date(2024, 1, 5)), (2, None), (3, None)]
+    # ANSI mode is restored after the lenient analysis.
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_required_null_drops_row_and_failed_cast_drops_row(spark):
+    df = spark.createDataFrame([("1", "5"), (None, "6"), ("x", "7")], "id string, v string")
+    out = apply_contract(df, [{"name": "id", "type": "long", "nullable": False}])
+    assert rows(out, "v", "id") == [("5", 1)]
+
+
+def test_only_literal_false_enforces(spark):
+    df = spark.createDataFrame([(None,), ("a",)], "v string")
+    for flag in (0, "false", None, True):
+        out = apply_contract(df, [{"name": "v", "type": "string", "nullable": flag}])
+        assert out.count() == 2
+
+
+def test_missing_required_raises(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    with pytest.raises(ValueError, match="Missing required column in input: b"):
+        apply_contract(df, [{"name": "b", "type": "long", "nullable": False}])
+
+
+def test_missing_optional_is_skipped(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    out = apply_contract(df, [{"name": "b", "type": "long", "nullable": True}])
+    assert out.columns == ["a"]
+
+
+def test_presence_check_is_case_sensitive(spark):
+    df = spark.createDataFrame([("1",)], "Order_ID string")
+    with pytest.raises(ValueError, match="order_id"):
+        apply_contract(df, [{"name": "order_id", "type": "long", "nullable": False}])
+    out = apply_contract(df, [{"name": "order_id", "type": "long", "nullable": True}])
+    assert out.dtypes == [("Order_ID", "string")]
+
+
+def test_not_a_projection_columns_keep_position(spark):
+    df = spark.createDataFrame([("1", "x", "2")], "a string, extra string, b string")
+    out = apply_contract(
+        df,
+        [{"name": "b", "type": "int", "nullable": False}, {"name": "a", "type": "long", "nullable": False}],
+    )
+    assert out.dtypes == [("a", "bigint"), ("extra", "string"), ("b", "int")]
+
+
+def test_transform_replaces_cast_and_sees_earlier_results(spark):
+    df = spark.createDataFrame([("2.345", "p")], "amount string, label string")
+    out = apply_contract(
+        df,
+        [
+            {"name": "amount", "type": "decimal(12,2)", "nullable": False},
+            {"name": "label", "type": "long", "nullable": True, "transform_sql": "concat(label, ':', amount)"},
+        ],
+    )
+    row = out.first()
+    assert row["label"] == "p:2.35"  # sees the cast amount; declared long ignored
+    assert dict(out.dtypes)["label"] == "string"
+
+
+def test_same_column_twice_applies_in_order(spark):
+    df = spark.createDataFrame([("7.9",)], "v string")
+    out = apply_contract(
+        df,
+        [
+            {"name": "v", "type": "double", "nullable": True},
+            {"name": "v", "type": "int", "nullable": True},
+        ],
+    )
+    assert out.first()["v"] == 7
+
+
+def test_nan_is_not_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (1.0,)], "v double")
+    out = apply_contract(df, [{"name": "v", "type": "double", "nullable": False}])
+    assert out.count() == 2
+
+
+def test_column_rule_missing_field(spark):
+    with pytest.raises(ValueError, match="nullable"):
+        parse_contract([{"name": "a", "type": "long"}])
+    with pytest.raises(ValueError, match="columns"):
+        parse_contract({"cols": []})
+
+
+def test_schema_object_accepted(spark):
+    df = spark.createDataFrame([("1",)], "a string")
+    out = apply_contract(df, {"columns": [{"name": "a", "type": "long", "nullable": False}]})
+    assert out.dtypes == [("a", "bigint")]
+
+
+def test_contract_is_lazy_and_plan_has_one_filter(spark):
+    df = spark.range(10).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
+    out = apply_contract(
+        df,
+        [{"name": "a", "type": "long", "nullable": False}, {"name": "b", "type": "string", "nullable": False}],
+    )
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Filter") == 1
+
+
+def test_report_counts(spark):
+    df = spark.createDataFrame(
+        [("1", "2.5", "2024-01-01"), ("x", "n/a", "bad"), (None, "3", None), ("4", None, "2024-02-30")],
+        "id string, amount string, d string",
+    )
+    contract = [
+        {"name": "id", "type": "long", "nullable": False},
+        {"name": "amount", "type": "decimal(12,2)", "nullable": False},
+        {"name": "d", "type": "date", "nullable": True, "transform_sql": "to_date(d)"},
+        {"name": "gone", "type": "long", "nullable": False},
+    ]
+    got = {(r["column_name"], r["rule"]): r["n_rows"] for r in contract_report(df, contract).collect()}
+    assert got == {
+        ("*", "rows_in"): 4,
+        ("id", "cast_failed"): 1,
+        ("amount", "cast_failed"): 1,
+        ("d", "cast_failed"): 2,
+        ("gone", "missing_column"): 4,
+        ("id", "null_in_required"): 2,
+        ("amount", "null_in_required"): 2,
+        ("*", "rows_dropped"): 3,
+    }
+    # Report and contract agree on what is kept (the missing required column
+    # is only reported, never raised, by the report).
+    kept = apply_contract(df, contract[:3]).count()
+    assert kept == 4 - got[("*", "rows_dropped")]

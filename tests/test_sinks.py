@@ -1,0 +1,59 @@
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.sinks.tables import create_empty_table, normalise_mode, table_exists, write_table
+from stratum.sources.catalog import table_name
+
+
+def name(schema, table="t"):
+    return table_name("spark_catalog", schema, table)
+
+
+def test_mode_normalising():
+    assert normalise_mode(" OverWrite ") == "overwrite"
+    assert normalise_mode("append") == "append"
+    assert normalise_mode("merge") == "append"
+    assert normalise_mode(None) == "append"
+    assert normalise_mode("") == "append"
+
+
+def test_create_empty_table(spark, scratch_schema):
+    t = name(scratch_schema)
+    df = spark.range(5).withColumn("s", F.lit("x"))
+    assert not table_exists(spark, t)
+    create_empty_table(df, t, "parquet")
+    assert table_exists(spark, t)
+    assert spark.table(t).count() == 0
+    assert spark.table(t).dtypes == [("id", "bigint"), ("s", "string")]
+
+
+def test_append_creates_then_appends(spark, scratch_schema):
+    t = name(scratch_schema)
+    df = spark.range(3)
+    write_table(df, t, "append", "parquet")
+    write_table(df, t, None, "parquet")
+    assert spark.table(t).count() == 6
+
+
+def test_append_matches_columns_by_name(spark, scratch_schema):
+    t = name(scratch_schema)
+    write_table(spark.sql("SELECT 1 AS a, 'x' AS b"), t, "append", "parquet")
+    write_table(spark.sql("SELECT 'y' AS b, 2 AS a"), t, "append", "parquet")
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "x"), (2, "y")]
+    with pytest.raises(Exception):
+        write_table(spark.sql("SELECT 3 AS a, 'z' AS b, 1 AS extra"), t, "append", "parquet")
+
+
+def test_overwrite_replaces_data_and_schema(spark, scratch_schema):
+    t = name(scratch_schema)
+    write_table(spark.range(3), t, "append", "parquet")
+    write_table(spark.sql("SELECT 'only' AS s"), t, "Overwrite", "parquet")
+    assert [tuple(r) for r in spark.table(t).collect()] == [("only",)]
+
+
+def test_overwrite_refuses_reading_itself(spark, scratch_schema):
+    t = name(scratch_schema)
+    write_table(spark.range(3), t, "append", "parquet")
+    with pytest.raises(Exception):
+        write_table(spark.table(t).filter("id > 0"), t, "overwrite", "parquet")
+    assert spark.table(t).count() == 3
