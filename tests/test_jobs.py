@@ -133,3 +133,48 @@ def test_refined_missing_alias_raises(spark, scratch_schema):
     spec["input_entity"]["sources"][1]["alias"] = "sales"
     with pytest.raises(ValueError, match="orders"):
         build_loyal_customers(spark, spec, table_format="parquet")
+
+
+def write_spec(scratch_dir, name, spec):
+    import json
+
+    local = scratch_dir.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/{name}", "w") as f:
+        json.dump(spec, f)
+    return f"{scratch_dir}/{name}"
+
+
+def test_spec_file_jobs(spark, scratch_dir, scratch_schema):
+    from stratum.plans.jobs import LoyalCustomersJob, RawIngestJob
+    from stratum.session import scratch_schema as make_schema
+
+    cfg = landing(scratch_dir, "orders", ORDERS_CSV)
+    landing(scratch_dir, "customers", CUSTOMERS_CSV)
+    o_path = write_spec(scratch_dir, "o.json", csv_spec("orders/", "data.csv", ORDERS_CONTRACT, scratch_schema, "orders"))
+    c_path = write_spec(
+        scratch_dir, "c.json", csv_spec("customers/", "data.csv", CUSTOMERS_CONTRACT, scratch_schema, "customers")
+    )
+    job = RawIngestJob(cfg, o_path, spark=spark, table_format="parquet")
+    assert job.source_kind == "csv"
+    job.run(spark)
+    RawIngestJob(cfg, c_path, spark=spark, table_format="parquet").run(spark)
+    refined, _ = make_schema(spark, "refined")
+    l_path = write_spec(scratch_dir, "l.json", loyal_spec(scratch_schema, refined, min_orders=2))
+    out = LoyalCustomersJob(None, l_path, spark=spark, table_format="parquet").run(spark)
+    assert [r.customer_id for r in spark.table(out).collect()] == [1]
+
+
+def test_spec_file_errors(spark, scratch_dir):
+    import json
+
+    from stratum.plans.jobs import RawIngestJob
+
+    with pytest.raises(ValueError, match="metadata_path"):
+        RawIngestJob({}, None)
+    local = scratch_dir.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/bad.json", "w") as f:
+        f.write("{not json")
+    with pytest.raises(json.JSONDecodeError):
+        RawIngestJob({}, f"{scratch_dir}/bad.json", spark=spark)
