@@ -28,7 +28,7 @@ def resolve_run_id(spark: SparkSession, conf_key: str = RUN_ID_CONF_KEY) -> str:
         value = None
     if value:
         return str(value)
-    app_id = spark.sparkContext.applicationId
+    app_id = spark.conf.get("spark.app.id", None)
     if app_id:
         return str(app_id)
     return dt.datetime.now(dt.timezone.utc).strftime(RUN_ID_TIME_FORMAT)

@@ -19,13 +19,19 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; one is created only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get(_CHECKPOINT_KEY, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="stratum-checkpoints-")
+    if sc is None:
+        return configured.rstrip("/")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 

@@ -7,7 +7,7 @@ Column mapping::
 
     customer_id   <- c_custkey / o_custkey
     customer_code <- c_name
-    first_name    <- c_name before '#', last_name <- c_name after '#'
+    first_name    <- 1st '#'-separated part of c_name, last_name <- 2nd part
     country       <- n_name through c_nationkey
     order_id      <- o_orderkey
     order_amount  <- o_totalprice as decimal(12,2)
@@ -56,8 +56,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("customer_code"),
-            F.substring_index("c_name", "#", 1).alias("first_name"),
-            F.substring_index("c_name", "#", -1).alias("last_name"),
+            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
+            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
             F.col("n_name").alias("country"),
         )
     )

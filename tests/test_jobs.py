@@ -178,3 +178,42 @@ def test_spec_file_errors(spark, scratch_dir):
         f.write("{not json")
     with pytest.raises(json.JSONDecodeError):
         RawIngestJob({}, f"{scratch_dir}/bad.json", spark=spark)
+
+
+def test_olap_branch_wiring_without_a_database(spark, scratch_schema, monkeypatch):
+    """No database may run here, so the JDBC reader is replaced by a frame
+    that stands for what the remote table returns; the job's JDBC branch
+    (options, contract, load columns, write) runs for real."""
+    import stratum.plans.raw as raw_mod
+    from conftest import SF_SMALL
+    from stratum.sources import tpch
+    from stratum.sources.jdbc import source_jdbc_options
+
+    seen = {}
+
+    def fake_reader(spark_, source, **overrides):
+        seen["options"] = source_jdbc_options(source, **overrides)
+        return tpch.customers(spark_, SF_SMALL)  # remote columns arrive typed
+
+    monkeypatch.setattr(raw_mod, "read_jdbc_source", fake_reader)
+    spec = olap_spec(
+        "sql.example.com",
+        "sales",
+        "dbo",
+        "customers",
+        CUSTOMERS_CONTRACT,
+        scratch_schema,
+        "customers",
+        predicate="country <> 'X'",
+        read_options={"fetchsize": 10000, "partition_column": "customer_id", "lower_bound": 1,
+                      "upper_bound": 10000000, "num_partitions": 8},
+    )
+    t = ingest_raw(spark, spec, table_format="parquet", run_id="j1", jdbc_options={"accessToken": "tok"})
+    opts = seen["options"]
+    assert opts["dbtable"] == "(SELECT * FROM dbo.customers WHERE country <> 'X') AS t"
+    assert opts["numPartitions"] == 8 and opts["partitionColumn"] == "customer_id"
+    assert opts["accessToken"] == "tok" and "password" not in opts
+    out = spark.table(t)
+    assert out.count() == tpch.customers(spark, SF_SMALL).count()
+    assert dict(out.dtypes)["customer_id"] == "bigint" and "created_date" not in out.columns
+    assert {r.run_id for r in out.select("run_id").distinct().collect()} == {"j1"}
