@@ -22,7 +22,9 @@ from .plans.examples import CUSTOMERS_CONTRACT, ORDERS_CONTRACT, csv_spec, loyal
 from .plans.raw import ingest_raw, read_raw_source
 from .plans.refined import build_loyal_customers
 from .session import scratch_path, scratch_schema
+from .sinks.tables import create_empty_table, table_exists, write_table
 from .sources import tpch
+from .sources.catalog import table_name
 
 TABLE_FORMAT = "parquet"  # no Delta jar in this environment
 
@@ -146,6 +148,21 @@ def q_raw_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_create_empty_then_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, K3, L1, K4: existence check, empty table from the frame's schema
+    (``limit(0)``), then two appends into it."""
+    config, file_name = _orders_landing(spark, sf_dir)
+    spec = csv_spec("orders/", file_name, ORDERS_CONTRACT, "unused", "unused")
+    contracted = read_raw_source(spark, spec, config)
+    schema, _ = scratch_schema(spark, "raw")
+    name = table_name("spark_catalog", schema, "orders")
+    if not table_exists(spark, name):
+        create_empty_table(add_load_columns(contracted, *LOAD_1), name, TABLE_FORMAT)
+    for load in (LOAD_1, LOAD_2):
+        write_table(add_load_columns(contracted, *load), name, "append", TABLE_FORMAT)
+    return spark.table(name)
+
+
 def _loyal_from_raw(spark: SparkSession, sf_dir: str, loads: int, thresholds) -> DataFrame:
     orders_cfg, orders_file = _orders_landing(spark, sf_dir)
     cust_cfg, cust_file = _customers_landing(spark, sf_dir)
@@ -181,6 +198,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_columns": q_load_columns,
     "raw_append_twice": q_raw_append_twice,
     "raw_overwrite": q_raw_overwrite,
+    "create_empty_then_append": q_create_empty_then_append,
     "refined_end_to_end": q_refined_end_to_end,
     "double_load_loyal": q_double_load_loyal,
 }
@@ -328,6 +346,7 @@ WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND order_amount IS NOT N
         "load_columns": _stamped(_ORDERS_SQL, LOAD_1),
         "raw_append_twice": f"{_stamped(_CONTRACTED_ORDERS_SQL, LOAD_1)} UNION ALL {_stamped(_CONTRACTED_ORDERS_SQL, LOAD_2)}",
         "raw_overwrite": _stamped(_CONTRACTED_ORDERS_SQL, LOAD_2),
+        "create_empty_then_append": f"{_stamped(_CONTRACTED_ORDERS_SQL, LOAD_1)} UNION ALL {_stamped(_CONTRACTED_ORDERS_SQL, LOAD_2)}",
         "refined_end_to_end": _loyal_sql(_CUSTOMERS_SQL, raw_once, *END_TO_END_THRESHOLDS),
         "double_load_loyal": _loyal_sql(_CUSTOMERS_SQL, raw_twice, *DOUBLE_LOAD_THRESHOLDS),
     }

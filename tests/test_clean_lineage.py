@@ -48,3 +48,18 @@ def test_run_id_prefers_conf_then_app_id(spark):
         assert add_load_columns(spark.range(1)).first()["run_id"] == "12345"
     finally:
         spark.conf.unset(RUN_ID_CONF_KEY)
+
+
+def test_default_ingestion_date_is_session_time_zone_today(spark):
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("Pacific/Kiritimati", "Pacific/Pago_Pago"):  # UTC+14 and UTC-11
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = add_load_columns(spark.range(1), run_id="r").first()["ingestion_date"]
+            now = dt.datetime.now(ZoneInfo(tz)).date()
+            assert got in (now, now - dt.timedelta(days=1))  # tolerate midnight
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
