@@ -24,7 +24,7 @@ def present_predicate(df: DataFrame, columns: Sequence[str]) -> Column:
     types = {f.name: f.dataType for f in df.schema.fields}
     preds = []
     for name in columns:
-        c = df[name]
+        c = df["`" + name.replace("`", "``") + "`"]
         pred = c.isNotNull()
         if isinstance(types.get(name), (T.FloatType, T.DoubleType)):
             pred = pred & ~F.isnan(c)

@@ -18,6 +18,12 @@ def test_drop_nulls_any(spark):
     assert sorted(r.k for r in drop_nulls(df, []).collect()) == [1, 4]
 
 
+def test_drop_nulls_names_with_dots(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "`a.b` int, `c d` string")
+    assert [r[0] for r in drop_nulls(df, ["c d"]).collect()] == [2]
+    assert drop_nulls(df).count() == 1
+
+
 def test_drop_nulls_pushes_into_parquet_scan(spark, scratch_dir):
     path = f"{scratch_dir}/p"
     spark.range(100).select(F.col("id").alias("k"), F.col("id").cast("string").alias("s")).write.parquet(path)
