@@ -85,6 +85,11 @@ def q_loyal_customers_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loyal_customers(tpch.customers(spark, sf_dir), tpch.orders(spark, sf_dir))
 
 
+def q_loyal_hot_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loyalty with one customer holding a third of all orders (skew)."""
+    return loyal_customers(tpch.customers(spark, sf_dir), tpch.hot_customer_orders(spark, sf_dir))
+
+
 def q_csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty orders CSV read and contracted."""
     config, file_name = _orders_landing(spark, sf_dir)
@@ -190,6 +195,7 @@ def q_double_load_loyal(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loyal_customers": q_loyal_customers,
     "loyal_customers_defaults": q_loyal_customers_defaults,
+    "loyal_hot_customer": q_loyal_hot_customer,
     "csv_contract": q_csv_contract,
     "contract_sequential": q_contract_sequential,
     "contract_report": q_contract_report,
@@ -224,6 +230,14 @@ SELECT o_custkey AS customer_id, o_orderkey AS order_id,
 FROM orders
 """
 
+_HOT_ORDERS_SQL = """
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN CAST(1 AS BIGINT) ELSE o_custkey END AS customer_id,
+       o_orderkey AS order_id,
+       CAST(o_totalprice AS DECIMAL(12,2)) AS order_amount,
+       CAST(o_orderdate AS DATE) AS order_date
+FROM orders
+"""
+
 _DIRTY_ORDERS_SQL = """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL
@@ -324,6 +338,7 @@ def _oracles() -> dict[str, str]:
     return {
         "loyal_customers": _loyal_sql(_CUSTOMERS_SQL, _ORDERS_SQL, n, spend),
         "loyal_customers_defaults": _loyal_sql(_CUSTOMERS_SQL, _ORDERS_SQL, 3, 200),
+        "loyal_hot_customer": _loyal_sql(_CUSTOMERS_SQL, _HOT_ORDERS_SQL, 3, 200),
         "csv_contract": _CONTRACTED_ORDERS_SQL,
         "contract_sequential": """
 SELECT o_orderkey, o_custkey, o_orderstatus,

@@ -30,6 +30,8 @@ BAD_AMOUNT_EVERY = 7  # order_amount 'n/a'
 BAD_DATE_EVERY = 5  # order_date 'bad'
 ZERO_PADDED_KEY_EVERY = 3  # customer_id written as '0' || key
 NAN_PRICE_EVERY = 13  # price NaN (NULL/NaN frame only)
+HOT_CUSTOMER_EVERY = 3  # order moved to the hot customer (skew frame only)
+HOT_CUSTOMER_ID = 1
 BAD_AMOUNT_TEXT = "n/a"
 BAD_DATE_TEXT = "bad"
 
@@ -80,6 +82,18 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed orders where one customer holds a third of all orders."""
+    return orders(spark, sf_dir).withColumn(
+        "customer_id",
+        F.when(_every_order(HOT_CUSTOMER_EVERY), F.lit(HOT_CUSTOMER_ID).cast("bigint")).otherwise(F.col("customer_id")),
+    )
+
+
+def _every_order(n: int) -> Column:
+    return (F.col("order_id") % n) == 0
+
+
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a dirty CSV would hold them (all strings): NULL customer,
     zero-padded customer key, 'n/a' amount and 'bad' date by key rule."""

@@ -57,3 +57,50 @@ def test_contract_report_is_one_pass(spark):
     plan = final_plan(QUERIES["contract_report"](spark, SF_ORACLE))
     assert plan.count("Scan parquet") == 1
     assert plan.count("Exchange SinglePartition") == 1
+
+
+def _shuffle_sizes(node, out):
+    """(partitioning, bytes per reduce partition) of every executed shuffle."""
+    name = node.getClass().getSimpleName()
+    if name == "ShuffleQueryStageExec" and node.mapStats().isDefined():
+        out.append((node.plan().outputPartitioning().toString(), list(node.mapStats().get().bytesByPartitionId())))
+    if name.endswith("QueryStageExec"):
+        _shuffle_sizes(node.plan(), out)
+    children = node.children()
+    for i in range(children.size()):
+        _shuffle_sizes(children.apply(i), out)
+    return out
+
+
+def test_hot_customer_does_not_skew_the_aggregate(spark):
+    """One customer holds a third of all orders; every exchange of the
+    loyalty aggregate still spreads bytes evenly over reducers, while
+    partitioning on the customer alone would not."""
+    from pyspark.sql import functions as F
+
+    from stratum.sources import tpch
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = QUERIES["loyal_hot_customer"](spark, SF_ORACLE)
+        df.collect()
+        sizes = _shuffle_sizes(df._jdf.queryExecution().executedPlan().executedPlan(), [])
+        naive = [
+            r[1]
+            for r in tpch.hot_customer_orders(spark, SF_ORACLE)
+            .repartition(8, "customer_id")
+            .groupBy(F.spark_partition_id())
+            .count()
+            .collect()
+        ]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def ratio(xs):
+        xs = sorted(xs)
+        return xs[-1] / xs[len(xs) // 2]
+
+    assert len(sizes) == 2
+    for _, per_partition in sizes:
+        assert ratio(per_partition) < 1.5
+    assert ratio(naive) > 3
