@@ -40,6 +40,10 @@ def main() -> None:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Local SSD: opening a file is cheap, so let a few-MB landing CSV split
+        # over all cores (the 4 MB default packs it into one or two tasks).
+        # Irrelevant for large files, where maxPartitionBytes decides.
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
