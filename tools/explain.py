@@ -35,16 +35,37 @@ def main() -> None:
     print("16 shuffle partitions), generated by `tools/explain.py`. Expression ids")
     print("and scratch paths are shortened.\n")
     for name, fn in QUERIES.items():
-        df = fn(spark, sf_dir)
-        df.collect()
-        node = df._jdf.queryExecution().executedPlan()
-        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
-            node = node.executedPlan()  # the final plan only
-        plan = node.toString()
-        plan = re.sub(r"#\d+L?", "", plan)
-        plan = re.sub(r"file:/\S+/stratum/", ".../", plan)
-        plan = re.sub(r"InMemoryFileIndex\(\d+ paths\)\[[^\]]*\]", "InMemoryFileIndex[...]", plan)
-        print(f"## {name}\n\n```\n{plan.strip()}\n```\n")
+        show(name, fn(spark, sf_dir))
+    show("refined job over the raw tables (the write inside refined_end_to_end)", refined_frame(spark, sf_dir))
+
+
+def refined_frame(spark, sf_dir):
+    """The frame the refined job writes, over freshly ingested raw tables."""
+    from stratum import queries as Q
+    from stratum.operators.loyalty import loyal_customers
+    from stratum.plans.examples import loyal_spec
+    from stratum.session import scratch_schema
+    from stratum.sources.catalog import read_sources
+
+    ocfg, ofile = Q._orders_landing(spark, sf_dir)
+    ccfg, cfile = Q._customers_landing(spark, sf_dir)
+    raw, _ = scratch_schema(spark, "raw")
+    Q._ingest_orders(spark, ocfg, ofile, raw, "append", Q.LOAD_1)
+    Q._ingest_customers(spark, ccfg, cfile, raw)
+    frames = read_sources(spark, loyal_spec(raw, "unused")["input_entity"]["sources"])
+    return loyal_customers(frames["customers"], frames["orders"], *Q.END_TO_END_THRESHOLDS)
+
+
+def show(title, df) -> None:
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        node = node.executedPlan()  # the final plan only
+    plan = node.toString()
+    plan = re.sub(r"#\d+L?", "", plan)
+    plan = re.sub(r"file:/\S+/stratum/", ".../", plan)
+    plan = re.sub(r"InMemoryFileIndex\(\d+ paths\)\[[^\]]*\]", "InMemoryFileIndex[...]", plan)
+    print(f"## {title}\n\n```\n{plan.strip()}\n```\n")
 
 
 if __name__ == "__main__":
