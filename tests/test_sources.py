@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from stratum.sources.catalog import read_sources, table_name
 from stratum.sources.csv import build_input_path, normalise_options, read_csv
@@ -121,3 +123,19 @@ def test_read_sources_validation(spark):
         read_sources(spark, [{"type": "csv", "schema": "s", "table": "t", "alias": "a"}])
     with pytest.raises(ValueError, match="alias"):
         read_sources(spark, [{"type": "delta_table", "schema": "s", "table": "t"}])
+
+_segment = st.text(alphabet="abcxyz01_-.", min_size=1, max_size=6)
+
+
+@given(
+    base=st.one_of(st.just(""), st.builds(lambda s: "/" + s + "/", _segment), st.builds(lambda s: "s3a://" + s + "/", _segment)),
+    folder=st.builds(lambda lead, s, trail: lead + s + trail, st.sampled_from(["", "/", "abfss://c@a/"]), _segment, st.sampled_from(["", "/", "//"])),
+    name=st.builds(lambda lead, s: lead + s, st.sampled_from(["", "/"]), _segment),
+)
+def test_build_input_path_never_doubles_slashes(base, folder, name):
+    path = build_input_path({"landing": base}, folder, name)
+    body = path.split("://", 1)[-1]
+    assert "//" not in body
+    assert path.endswith(name.lstrip("/"))
+    if folder.startswith(("/", "abfss://")):  # absolute: the base is ignored
+        assert path == folder.rstrip("/") + "/" + name.lstrip("/")
