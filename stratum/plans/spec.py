@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
+from ..operators.contract import parse_contract
+
 # Required keys per spec part.
 ROOT_KEYS = ("version", "enabled", "input_entity", "target_entity", "ingestion_information")
 CSV_SOURCE_KEYS = ("type", "folder", "file_name", "read_options", "schema")
@@ -54,6 +56,7 @@ def validate_raw_spec(spec: Mapping[str, Any]) -> str:
     else:
         require(src, CSV_SOURCE_KEYS, "Source")
     require(src["schema"], ("columns",), "Schema")
+    parse_contract(src["schema"])  # every column rule: name, type, nullable
     require(spec["target_entity"], RAW_TARGET_KEYS, "Target")
     require(spec["ingestion_information"], ("mode",), "IngestionInformation")
     return kind

@@ -64,6 +64,14 @@ def test_missing_key_raises_naming_it(path, key):
         validate_raw_spec(spec)
 
 
+def test_bad_column_rule_raises_before_side_effects(spark):
+    spec = csv_spec("orders/", "data.csv", ORDERS_CONTRACT, "never_created_schema_3", "orders")
+    del spec["input_entity"]["source"]["schema"]["columns"][2]["nullable"]
+    with pytest.raises(ValueError, match="nullable"):
+        ingest_raw(spark, spec, {}, table_format="parquet")
+    assert not spark.catalog.databaseExists("never_created_schema_3")
+
+
 def test_olap_spec_checks_connection_keys():
     spec = olap_spec("h", "db", "dbo", "customers", CUSTOMERS_CONTRACT, "raw", "customers")
     assert validate_raw_spec(spec) == "olap"
