@@ -38,7 +38,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lenient import ansi_disabled, lenient_cast
+from ..functions.lenient import ansi_disabled
+from ..functions.types import spark_type
 
 logger = logging.getLogger(__name__)
 
@@ -91,49 +92,88 @@ def parse_contract(columns: Contract) -> list[ContractColumn]:
 
 
 def _col(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quote(name))
 
 
-def _apply_rules(df: DataFrame, rules: Iterable[ContractColumn], on_step=None) -> DataFrame:
-    """Apply rules in order. Consecutive casts go into one ``withColumns``
-    projection (they read only their own column); a transform, or a second
-    rule for a column already in the pending batch, flushes the batch first.
+def quote(name: str) -> str:
+    """Back-quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
-    ``on_step(df, index, rule, phase)`` lets the report stage extra columns
-    before ("in") and after ("out") each rule; it forces one rule per step.
+
+def _sql_string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _type_sql(declared: str) -> str:
+    t = spark_type(declared)
+    return t if isinstance(t, str) else t.simpleString()
+
+
+def _snapshot_names(i: int) -> tuple[str, str]:
+    return f"__contract_in_{i}", f"__contract_out_{i}"
+
+
+def _apply_rules(df: DataFrame, rules: Iterable[ContractColumn], snapshots: bool = False) -> DataFrame:
+    """Apply rules in order.
+
+    Consecutive casts go into one projection (each reads only its own
+    column); a transform, or a second rule for a column already in the
+    pending batch, flushes the batch first, so every rule sees the results of
+    the rules before it. A batch is one ``selectExpr`` call, so a contract
+    with hundreds of columns costs a handful of round trips to the JVM, not
+    several per column.
+
+    With ``snapshots`` the value of each present column just before and just
+    after its rule is kept in ``__contract_in_<i>`` / ``__contract_out_<i>``
+    (for the report); the snapshots ride in the same batches.
     """
-    pending: dict[str, Column] = {}
+    columns = list(df.columns)
+    present = set(columns)
+    pending: dict[str, str] = {}  # column name -> SQL expression
 
     def flush(frame: DataFrame) -> DataFrame:
-        if pending:
-            frame = frame.withColumns(dict(pending))
-            pending.clear()
-        return frame
+        if not pending:
+            return frame
+        select = [f"{pending[c]} AS {quote(c)}" if c in pending else quote(c) for c in columns]
+        added = [c for c in pending if c not in present]
+        select += [f"{pending[c]} AS {quote(c)}" for c in added]
+        columns.extend(added)
+        present.update(added)
+        pending.clear()
+        return frame.selectExpr(*select)
 
     for i, rule in enumerate(rules):
-        if rule.name not in df.columns:
+        if rule.name not in present:
             if rule.required:
                 raise ValueError(f"Missing required column in input: {rule.name}")
             logger.warning("Optional column missing in input: %s", rule.name)
             continue
-        if on_step is not None:
-            df = on_step(flush(df), i, rule, "in")
+        before, after = _snapshot_names(i)
+        if rule.name in pending:
+            df = flush(df)
         if rule.transform_sql:
+            if snapshots:
+                pending[before] = quote(rule.name)
             df = flush(df)
             with ansi_disabled(df.sparkSession):
                 df = df.withColumn(rule.name, F.expr(rule.transform_sql))
+            if snapshots:
+                pending[after] = quote(rule.name)
+                pending.setdefault(rule.name, quote(rule.name))  # a later rule on it flushes first
         else:
-            if rule.name in pending:
-                df = flush(df)
-            pending[rule.name] = lenient_cast(_col(rule.name), rule.type)
-        if on_step is not None:
-            df = on_step(flush(df), i, rule, "out")
+            cast = f"try_cast({quote(rule.name)} AS {_type_sql(rule.type)})"
+            pending[rule.name] = cast
+            if snapshots:
+                pending[before] = quote(rule.name)
+                pending[after] = cast
     return flush(df)
 
 
 def not_null_predicate(names: Iterable[str]) -> Column | None:
-    preds = [_col(n).isNotNull() for n in names]
-    return reduce(lambda a, b: a & b, preds) if preds else None
+    names = list(names)
+    if not names:
+        return None
+    return F.expr(" AND ".join(f"{quote(n)} IS NOT NULL" for n in names))
 
 
 def apply_contract(df: DataFrame, columns: Contract) -> DataFrame:
@@ -164,43 +204,29 @@ def contract_report(df: DataFrame, columns: Contract) -> DataFrame:
     """
     rules = parse_contract(columns)
     present = set(df.columns)
-    staged: dict[int, tuple[str, str]] = {}
-
-    def stage(frame: DataFrame, i: int, rule: ContractColumn, phase: str) -> DataFrame:
-        alias = f"__contract_{phase}_{i}"
-        staged.setdefault(i, (f"__contract_in_{i}", f"__contract_out_{i}"))
-        return frame.withColumn(alias, _col(rule.name))
-
+    # Report, never raise: a missing required column is only counted.
     lenient = [
         ContractColumn(r.name, r.type, None if r.required else r.nullable, r.transform_sql, r.date_format)
         for r in rules
     ]
-    applied = _apply_rules(df, lenient, on_step=stage)
+    applied = _apply_rules(df, lenient, snapshots=True)
 
-    metrics: list[tuple[str, str, Column]] = [(ALL_COLUMNS, RULE_ROWS_IN, F.count(F.lit(1)))]
+    metrics: list[tuple[str, str, str]] = [(ALL_COLUMNS, RULE_ROWS_IN, "count(1)")]
     for i, rule in enumerate(rules):
         if rule.name not in present:
-            metrics.append((rule.name, RULE_MISSING, F.count(F.lit(1))))
+            metrics.append((rule.name, RULE_MISSING, "count(1)"))
             continue
-        in_col, out_col = staged[i]
-        metrics.append((rule.name, RULE_CAST_FAILED, F.count_if(F.col(in_col).isNotNull() & F.col(out_col).isNull())))
+        before, after = (quote(c) for c in _snapshot_names(i))
+        metrics.append((rule.name, RULE_CAST_FAILED, f"count_if({before} IS NOT NULL AND {after} IS NULL)"))
     required = list(dict.fromkeys(r.name for r in rules if r.required and r.name in present))
     for name in required:
-        metrics.append((name, RULE_NULL_REQUIRED, F.count_if(_col(name).isNull())))
-    keep = not_null_predicate(required)
-    dropped = F.count_if(~keep) if keep is not None else F.lit(0).cast("bigint")
-    metrics.append((ALL_COLUMNS, RULE_ROWS_DROPPED, dropped))
-
-    aliases = [f"m{k}" for k in range(len(metrics))]
-    counts = applied.agg(*[expr.alias(a) for (_, _, expr), a in zip(metrics, aliases)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(col_name).alias("column_name"),
-                F.lit(rule).alias("rule"),
-                F.col(a).cast("bigint").alias("n_rows"),
-            )
-            for (col_name, rule, _), a in zip(metrics, aliases)
-        ]
-    )
-    return counts.select(F.inline(rows))
+        metrics.append((name, RULE_NULL_REQUIRED, f"count_if({quote(name)} IS NULL)"))
+    if required:
+        kept = " AND ".join(f"{quote(n)} IS NOT NULL" for n in required)
+        metrics.append((ALL_COLUMNS, RULE_ROWS_DROPPED, f"count_if(NOT ({kept}))"))
+    else:
+        metrics.append((ALL_COLUMNS, RULE_ROWS_DROPPED, "CAST(0 AS BIGINT)"))
+
+    counts = applied.selectExpr(*[f"CAST({e} AS BIGINT) AS m{k}" for k, (_, _, e) in enumerate(metrics)])
+    triples = ", ".join(f"{_sql_string(c)}, {_sql_string(r)}, m{k}" for k, (c, r, _) in enumerate(metrics))
+    return counts.selectExpr(f"stack({len(metrics)}, {triples}) AS (column_name, rule, n_rows)")

@@ -156,3 +156,24 @@ def test_report_counts(spark):
     # is only reported, never raised, by the report).
     kept = apply_contract(df, contract[:3]).count()
     assert kept == 4 - got[("*", "rows_dropped")]
+
+
+def test_wide_contract_few_projections_and_odd_names(spark):
+    n = 300
+    names = [f"c{i}" for i in range(n)]
+    names[7] = "it's `odd`"
+    df = spark.range(20).select(
+        *[F.when(F.col("id") % 4 == 0, F.lit("x")).otherwise(F.col("id").cast("string")).alias(c) for c in names]
+    )
+    contract = [{"name": c, "type": "long", "nullable": i % 100 != 0} for i, c in enumerate(names)]
+    contract[50] = {"name": "c50", "type": "long", "nullable": True, "transform_sql": "c49 + 1"}
+    out = apply_contract(df, contract)
+    analyzed = out._jdf.queryExecution().analyzed().toString()
+    assert analyzed.count("Project [") <= 5
+    assert out.count() == 15  # ids 0, 4, 8, 12, 16 fail the required casts
+    report = {(r.column_name, r.rule): r.n_rows for r in contract_report(df, contract).collect()}
+    assert report[("it's `odd`", "cast_failed")] == 5
+    assert report[("c50", "cast_failed")] == 5  # input present, transform of a NULL c49 is NULL
+    assert report[("c0", "null_in_required")] == 5
+    assert report[("*", "rows_dropped")] == 5
+    assert len(report) == 1 + n + 3 + 1
