@@ -40,14 +40,16 @@ def build_input_path(config: Mapping[str, Any] | None, folder: str, file_name: s
     It is ignored when ``folder`` is already absolute (a URL scheme such as
     ``abfss://`` or ``s3a://``, or a leading ``/``).
     """
-    config = config or {}
     folder = (folder or "").strip()
     file_name = (file_name or "").strip().lstrip("/")
-    base = ""
-    if not (_SCHEME.match(folder) or folder.startswith("/")):
-        base = next((str(config[k]) for k in BASE_PATH_KEYS if config.get(k)), "").rstrip("/")
-    parts = [p for p in (base, folder.rstrip("/") if base == "" else folder.strip("/"), file_name) if p]
-    return "/".join(parts)
+    if _SCHEME.match(folder) or folder.startswith("/"):
+        head = folder.rstrip("/")  # absolute folder: the base is ignored
+    else:
+        base = next((str(v) for k in BASE_PATH_KEYS if (v := (config or {}).get(k))), "").rstrip("/")
+        head = "/".join(p for p in (base, folder.strip("/")) if p)
+    if not file_name:
+        return head or "/"
+    return f"{head}/{file_name}" if head or folder.startswith("/") else file_name
 
 
 def read_csv(
