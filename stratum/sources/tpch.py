@@ -32,6 +32,7 @@ ZERO_PADDED_KEY_EVERY = 3  # customer_id written as '0' || key
 NAN_PRICE_EVERY = 13  # price NaN (NULL/NaN frame only)
 HOT_CUSTOMER_EVERY = 3  # order moved to the hot customer (skew frame only)
 HOT_CUSTOMER_ID = 1
+LOOKUP_BROADCAST_MAX_ROWS = 10_000  # nation has 25 rows at every scale
 BAD_AMOUNT_TEXT = "n/a"
 BAD_DATE_TEXT = "bad"
 
@@ -48,10 +49,20 @@ def _amount() -> Column:
     return F.col("o_totalprice").cast("decimal(12,2)")
 
 
+def _small_lookup(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
+    is returned unmarked and the planner picks the join (a low-cardinality
+    lookup key would otherwise send every row to a handful of reducers).
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed customers: customer_id bigint, customer_code, first_name,
     last_name, country (strings)."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = _small_lookup(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     return (
         table(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
