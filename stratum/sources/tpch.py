@@ -52,11 +52,12 @@ def _amount() -> Column:
 def _small_lookup(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned unmarked and the planner picks the join (a low-cardinality
-    lookup key would otherwise send every row to a handful of reducers).
+    The check fetches at most ``max_rows + 1`` one-column rows (no data
+    columns). Beyond the bound the frame is returned unmarked and the planner
+    picks the join (a low-cardinality lookup key would otherwise send every
+    row to a handful of reducers).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
