@@ -17,7 +17,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[4,2]")  # one task retry
         .appName("stratum-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")

@@ -57,3 +57,23 @@ def test_overwrite_refuses_reading_itself(spark, scratch_schema):
     with pytest.raises(Exception):
         write_table(spark.table(t).filter("id > 0"), t, "overwrite", "parquet")
     assert spark.table(t).count() == 3
+
+
+def test_write_survives_a_failed_task(spark, scratch_schema):
+    """A task dies on its first attempt (as on a lost executor); the retry
+    and the commit protocol still give every row exactly once."""
+    from pyspark import TaskContext
+
+    @F.udf("long")
+    def dies_once(v):  # test-only fault injection
+        ctx = TaskContext.get()
+        if ctx.partitionId() == 1 and ctx.attemptNumber() == 0:
+            raise RuntimeError("simulated executor loss")
+        return v
+
+    t = name(scratch_schema)
+    df = spark.range(0, 2000, numPartitions=4).select(dies_once("id").alias("id"))
+    write_table(df, t, "append", "parquet")
+    got = spark.table(t)
+    assert got.count() == 2000
+    assert got.distinct().count() == 2000
