@@ -11,6 +11,10 @@ whole job. Two tools restore the lenient result:
   evaluation mode is stored in the analysed expressions, so the plan keeps the
   lenient behaviour after the setting is restored. On Spark Connect analysis
   is lazy; there, write contracts with ``try_`` functions instead.
+
+The setting is session-wide for the few milliseconds of that analysis: toggles
+made here are serialised by a lock, but another thread analysing a query in
+the same session at that moment would also see ANSI off.
 """
 
 from __future__ import annotations
