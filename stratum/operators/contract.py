@@ -38,7 +38,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lenient import ansi_disabled
+from ..functions.lenient import lenient_sql
 from ..functions.types import spark_type
 
 logger = logging.getLogger(__name__)
@@ -155,8 +155,7 @@ def _apply_rules(df: DataFrame, rules: Iterable[ContractColumn], snapshots: bool
             if snapshots:
                 pending[before] = quote(rule.name)
             df = flush(df)
-            with ansi_disabled(df.sparkSession):
-                df = df.withColumn(rule.name, F.expr(rule.transform_sql))
+            df = lenient_sql(df, rule.name, rule.transform_sql)
             if snapshots:
                 pending[after] = quote(rule.name)
                 pending.setdefault(rule.name, quote(rule.name))  # a later rule on it flushes first
