@@ -24,10 +24,15 @@ twice: first on ``(customer_id, order_id)`` (map-side partial sum/max, so
 repeated copies of one order collapse before the shuffle, and one hot
 customer is spread over many reducers by its order ids), then on
 ``customer_id`` (again partial before the shuffle, so the second exchange
-carries at most one row per customer per task). The threshold filter is
-pushed below the join by Catalyst; the join strategy is left to AQE, which
-broadcasts a side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions.
+carries at most one row per customer per task). The thresholds filter the
+aggregate before the join.
+
+The join runs on ``(customer_id, salt)``. Customer keys with many rows are
+found by one more partial-then-final count and split over several salts (see
+:func:`loyal_customers`); AQE's own skew split cannot help here because the
+aggregate side reuses its hash partitioning instead of being shuffled for the
+join. The strategy is otherwise left to AQE, which broadcasts a side only when
+its measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -44,6 +49,11 @@ from .clean import drop_nulls
 DEFAULT_MIN_ORDERS = 3
 DEFAULT_MIN_TOTAL_SPEND = 200.0
 
+# A customer key with at least this many rows is salted in the join.
+DEFAULT_HOT_KEY_ROWS = 1_000_000
+SALT = "__salt"
+SALTS = "__n_salts"
+
 KEY = "customer_id"
 OUTPUT_COLUMNS = (
     "customer_id",
@@ -72,14 +82,38 @@ def order_aggregate(orders: DataFrame) -> DataFrame:
     )
 
 
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """``key, n_salts``: keys holding at least ``min_rows`` rows, and into how
+    many salted partitions each is split (``ceil(rows / min_rows)``).
+
+    At most ``rows(df) / min_rows`` keys qualify, which bounds the frame that
+    is broadcast. The count is a partial-then-final aggregate, so a key with a
+    third of all rows is collapsed map-side before the shuffle.
+    """
+    m = int(min_rows)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") >= F.lit(m)).select(
+        key, F.expr(f"CAST((n + {m - 1}) div {m} AS INT)").alias(SALTS)  # integer ceil
+    )
+
+
 def loyal_customers(
     customers: DataFrame,
     orders: DataFrame,
     min_orders: int = DEFAULT_MIN_ORDERS,
     min_total_spend: float | Decimal = DEFAULT_MIN_TOTAL_SPEND,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Customers with at least ``min_orders`` distinct orders and at least
-    ``min_total_spend`` in total (both bounds inclusive)."""
+    ``min_total_spend`` in total (both bounds inclusive).
+
+    A customer key with ``hot_key_rows`` or more customer rows (a placeholder
+    id, repeated loads of one customer) is split over several join partitions:
+    its customer rows get a salt in ``[0, n_salts)`` and its single aggregate
+    row is repeated once per salt, so the join on ``(customer_id, salt)``
+    pairs each customer row with exactly one copy. Any salt assignment gives
+    the same result, so a retried task that salts differently is harmless.
+    """
     key_type = customers.schema[KEY].dataType
     if orders.schema[KEY].dataType != key_type:
         orders = orders.withColumn(KEY, F.col(KEY).try_cast(key_type))
@@ -89,20 +123,33 @@ def loyal_customers(
 
     agg = order_aggregate(orders)
     spend = _spend_literal(min_total_spend, agg.schema["total_spend"].dataType)
-
-    c = customers.alias("c")
-    o = agg.alias("o")
-    return (
-        c.join(o, on=KEY, how="inner")
-        .filter((F.col("o.order_count") >= F.lit(int(min_orders))) & (F.col("o.total_spend") >= spend))
-        .select(
-            F.col(KEY),
-            F.col("c.customer_code").alias("customer_code"),
-            F.col("c.first_name").alias("first_name"),
-            F.col("c.last_name").alias("last_name"),
-            F.col("c.country").alias("country"),
-            F.col("o.order_count").alias("order_count"),
-            F.col("o.total_spend").alias("total_spend"),
-            F.col("o.last_order_date").alias("last_order_date"),
+    agg = agg.filter((F.col("order_count") >= F.lit(int(min_orders))) & (F.col("total_spend") >= spend))
+
+    hot = F.broadcast(hot_keys(customers, KEY, hot_key_rows))
+    c = (
+        customers.join(hot, on=KEY, how="left")
+        .withColumn(
+            SALT,
+            F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
+                F.pmod(F.monotonically_increasing_id(), F.col(SALTS).cast("bigint")).cast("int")
+            ),
         )
+        .drop(SALTS)
+        .alias("c")
+    )
+    o = (
+        agg.join(hot, on=KEY, how="left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
+        .drop(SALTS)
+        .alias("o")
+    )
+    return c.join(o, on=[KEY, SALT], how="inner").select(
+        F.col(KEY),
+        F.col("c.customer_code").alias("customer_code"),
+        F.col("c.first_name").alias("first_name"),
+        F.col("c.last_name").alias("last_name"),
+        F.col("c.country").alias("country"),
+        F.col("o.order_count").alias("order_count"),
+        F.col("o.total_spend").alias("total_spend"),
+        F.col("o.last_order_date").alias("last_order_date"),
     )

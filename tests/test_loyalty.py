@@ -90,3 +90,20 @@ def test_duplicate_customer_rows_repeat_output(spark):
     c = customers(spark, [(1, "C1", None, None, None), (1, "C1", None, None, None)])
     o = orders(spark, [("1", 1, d("500.00"), None)])
     assert loyal_customers(c, o, min_orders=1).count() == 2
+
+
+def test_hot_keys_and_salt_counts(spark):
+    from stratum.operators.loyalty import hot_keys
+
+    rows = [(1,)] * 25 + [(2,)] * 10 + [(3,)] * 9 + [(None,)] * 30
+    df = spark.createDataFrame(rows, "customer_id long")
+    got = {r.customer_id: r["__n_salts"] for r in hot_keys(df, "customer_id", 10).collect()}
+    assert got == {1: 3, 2: 1, None: 3}  # ceil(25/10), ceil(10/10); key 3 is below the bound
+
+
+def test_salting_keeps_results(spark):
+    c = customers(spark, [(1, "C1", None, None, None)] * 7 + [(2, "C2", None, None, None)])
+    o = orders(spark, [("1", 1, d("500.00"), None), ("2", 2, d("500.00"), None)])
+    plain = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=10**6).collect())
+    salted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=2).collect())
+    assert plain == salted and len(salted) == 8

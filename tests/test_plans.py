@@ -23,9 +23,10 @@ def test_loyalty_plan(spark):
     assert "IsNotNull(o_custkey)" in plan and "IsNotNull(o_orderkey)" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
     # Skew-safe distinct count: first exchange on (customer, order), then on
-    # customer, each after a partial aggregate.
+    # customer, each after a partial aggregate; two more aggregates count
+    # customer rows per key to find hot keys.
     assert "hashpartitioning(customer_id" in plan and ", order_id" in plan
-    assert plan.count("HashAggregate") == 4
+    assert plan.count("HashAggregate") >= 6
     assert "partial_sum" in plan and "partial_count(distinct" in plan
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
@@ -104,3 +105,41 @@ def test_hot_customer_does_not_skew_the_aggregate(spark):
     for _, per_partition in sizes:
         assert ratio(per_partition) < 1.5
     assert ratio(naive) > 3
+
+
+def test_hot_customer_rows_are_salted_in_the_join(spark):
+    """A third of the customer rows share one key: with size-based broadcasts
+    off (the 100 TB shape), the salted join still spreads them out."""
+    from pyspark.sql import functions as F
+
+    from stratum.operators.loyalty import loyal_customers
+    from stratum.sources import tpch
+
+    hot = tpch.customers(spark, SF_ORACLE).withColumn(
+        "customer_id",
+        F.when(F.col("customer_id") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("customer_id")),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        salted = loyal_customers(hot, tpch.orders(spark, SF_ORACLE), hot_key_rows=50)
+        plain = loyal_customers(hot, tpch.orders(spark, SF_ORACLE), hot_key_rows=10**9)
+        got, want = salted.collect(), plain.collect()
+        salted_sizes = _shuffle_sizes(salted._jdf.queryExecution().executedPlan().executedPlan(), [])
+        plain_sizes = _shuffle_sizes(plain._jdf.queryExecution().executedPlan().executedPlan(), [])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))  # same rows either way
+
+    def worst(sizes):
+        ratios = []
+        for k, per_partition in sizes:
+            if "__salt" in k:
+                xs = sorted(per_partition)
+                ratios.append(xs[-1] / xs[len(xs) // 2])
+        return max(ratios)
+
+    assert worst(plain_sizes) > 3  # unsalted: the hot key's partition dominates
+    assert worst(salted_sizes) < 2.5
