@@ -29,10 +29,11 @@ aggregate before the join.
 
 The join runs on ``(customer_id, salt)``. Customer keys with many rows are
 found by one more partial-then-final count and split over several salts (see
-:func:`loyal_customers`); AQE's own skew split cannot help here because the
-aggregate side reuses its hash partitioning instead of being shuffled for the
-join. The strategy is otherwise left to AQE, which broadcasts a side only when
-its measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
+:func:`loyal_customers`). A plain join on ``customer_id`` would get no help
+from AQE's skew split, because the aggregate side would reuse its hash
+partitioning instead of being shuffled for the join. The strategy is
+otherwise left to AQE, which broadcasts a side only when its measured size is
+under ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
