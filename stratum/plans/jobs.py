@@ -1,15 +1,16 @@
 """Spec-file entry points: ``RawIngestJob`` and ``LoyalCustomersJob``.
 
 ``Job(config, spec_path).run(spark)`` loads the JSON spec and runs it, like
-the reference's job classes. The spec is read through Spark's text source,
-so ``spec_path`` may be any path the cluster can read (object store, HDFS,
-local). A spec is a small configuration document, not data.
+the reference's job classes. ``spec_path`` may be a local file on the driver
+or any path the cluster can read (object store, HDFS). A spec is a small
+configuration document, not data.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import os
 from collections.abc import Mapping
 from typing import Any
 
@@ -24,9 +25,17 @@ logger = logging.getLogger(__name__)
 
 
 def load_spec(spark: SparkSession, path: str) -> dict[str, Any]:
-    """Read and decode one JSON spec file (``json.JSONDecodeError`` on bad JSON)."""
+    """Read and decode one JSON spec file (``json.JSONDecodeError`` on bad JSON).
+
+    A file that exists on the driver's local disk is read directly (a bare
+    path would otherwise resolve against the cluster's default file system);
+    anything else (object store, HDFS URL) is read through Spark.
+    """
     if not path:
         raise ValueError("metadata_path not given")
+    if os.path.isfile(path):
+        with open(path, encoding="utf-8") as f:
+            return json.loads(f.read())
     rows = spark.read.text(path, wholetext=True).take(1)
     if not rows:
         raise ValueError(f"Empty spec file: {path}")

@@ -173,6 +173,17 @@ def test_spec_file_jobs(spark, scratch_dir, scratch_schema):
     assert [r.customer_id for r in spark.table(out).collect()] == [1]
 
 
+def test_local_spec_file_and_repo_specs(spark):
+    from stratum.plans.jobs import load_spec
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name in ("raw_orders_csv.json", "raw_customers_jdbc.json"):
+        spec = load_spec(spark, os.path.join(root, "specs", name))
+        assert validate_raw_spec(spec) in ("csv", "olap")
+    refined = load_spec(spark, os.path.join(root, "specs", "refined_loyal_customers.json"))
+    assert refined["transformation"] == {"loyalty_min_orders": 3, "loyalty_min_total_spend": 200.0}
+
+
 def test_spec_file_errors(spark, scratch_dir):
     import json
 
