@@ -69,3 +69,17 @@ def test_default_ingestion_date_is_session_time_zone_today(spark):
             assert got in (now, now - dt.timedelta(days=1))  # tolerate midnight
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
+
+
+def test_run_id_falls_back_to_utc_timestamp():
+    import re
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        conf = _Conf()
+
+    rid = resolve_run_id(_Session())
+    assert re.fullmatch(r"\d{14}", rid)
