@@ -17,11 +17,13 @@ from .operators import (
     loyal_customers,
     resolve_run_id,
 )
-from .plans import build_loyal_customers, ingest_raw
+from .plans import LoyalCustomersJob, RawIngestJob, build_loyal_customers, ingest_raw, load_spec
 from .sinks import write_table
 from .sources import build_input_path, read_csv, read_jdbc, read_sources, sqlserver_url
 
 __all__ = [
+    "LoyalCustomersJob",
+    "RawIngestJob",
     "add_load_columns",
     "apply_contract",
     "build_input_path",
@@ -29,6 +31,7 @@ __all__ = [
     "contract_report",
     "drop_nulls",
     "ingest_raw",
+    "load_spec",
     "loyal_customers",
     "read_csv",
     "read_jdbc",
