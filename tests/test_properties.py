@@ -83,3 +83,62 @@ def test_contract_matches_brute_force(spark, data):
         ("amount", "null_in_required"): null_a,
         ("*", "rows_dropped"): dropped,
     }
+
+
+# ----------------------------------------------------------------------------
+# Batched rule application against the plain sequential definition.
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from stratum.functions.lenient import lenient_sql  # noqa: E402
+
+_COLS = ["a", "b", "c"]
+_rule = st.one_of(
+    st.builds(
+        # required only when present: presence errors are tested elsewhere
+        lambda name, typ, req: {"name": name, "type": typ, "nullable": not (req and name != "missing")},
+        st.sampled_from(_COLS + ["missing"]),
+        st.sampled_from(["long", "double", "string", "decimal(6,2)", "int"]),
+        st.booleans(),
+    ),
+    st.builds(
+        lambda name, other: {
+            "name": name,
+            "type": "string",
+            "nullable": True,
+            "transform_sql": f"concat(cast({name} as string), '|', cast({other} as string))",
+        },
+        st.sampled_from(_COLS),
+        st.sampled_from(_COLS),
+    ),
+)
+
+
+def _sequential(df, rules):
+    for r in rules:
+        if r["name"] not in df.columns:
+            continue
+        if r.get("transform_sql"):
+            df = lenient_sql(df, r["name"], r["transform_sql"])
+        else:
+            df = df.withColumn(r["name"], F.col(r["name"]).try_cast(r["type"]))
+    for r in rules:
+        if r["nullable"] is False:
+            df = df.filter(F.col(r["name"]).isNotNull())
+    return df
+
+
+@settings(
+    max_examples=25,
+    deadline=None,
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rules=st.lists(_rule, min_size=1, max_size=7))
+def test_batched_rules_equal_sequential_rules(spark, rules):
+    data = [("1", "2.5", "x"), (" 7 ", "n/a", "3"), (None, "1e2", "-4.25"), ("9999999", "0.005", None)]
+    df = spark.createDataFrame(data, "a string, b string, c string")
+    got = apply_contract(df, rules)
+    want = _sequential(df, rules)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
