@@ -142,3 +142,48 @@ def test_batched_rules_equal_sequential_rules(spark, rules):
     want = _sequential(df, rules)
     assert got.dtypes == want.dtypes
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def _sequential_report(df, rules):
+    """Counts computed rule by rule, collecting values on the driver."""
+    total = df.count()
+    out = {("*", "rows_in"): total}
+    for i, r in enumerate(rules):
+        if r["name"] not in df.columns:
+            key = (r["name"], "missing_column")
+            out[key] = out.get(key, 0) + total
+            continue
+        before = df.withColumn("__id", F.monotonically_increasing_id())
+        after = _sequential(before, [dict(r, nullable=True)])
+        pairs = after.select(F.col(r["name"]).alias("after"), "__id").join(
+            before.select(F.col(r["name"]).alias("before"), "__id"), "__id"
+        )
+        key = (r["name"], "cast_failed")
+        out[key] = out.get(key, 0) + pairs.filter("before IS NOT NULL AND after IS NULL").count()
+        df = _sequential(df, [dict(r, nullable=True)])
+    required = list(dict.fromkeys(r["name"] for r in rules if r["nullable"] is False and r["name"] in df.columns))
+    for name in required:
+        out[(name, "null_in_required")] = df.filter(F.col(name).isNull()).count()
+    kept = df
+    for name in required:
+        kept = kept.filter(F.col(name).isNotNull())
+    out[("*", "rows_dropped")] = total - kept.count()
+    return out
+
+
+@settings(
+    max_examples=12,
+    deadline=None,
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rules=st.lists(_rule, min_size=1, max_size=5))
+def test_report_equals_rule_by_rule_counts(spark, rules):
+    data = [("1", "2.5", "x"), (" 7 ", "n/a", "3"), (None, "1e2", "-4.25"), ("9999999", "0.005", None)]
+    df = spark.createDataFrame(data, "a string, b string, c string").coalesce(1)
+    got = {}
+    for r in contract_report(df, rules).collect():
+        key = (r.column_name, r.rule)
+        # a column named twice has one cast_failed row per rule: compare the sum
+        got[key] = got.get(key, 0) + r.n_rows
+    assert got == _sequential_report(df, rules)
