@@ -61,27 +61,39 @@ def main() -> None:
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    for fn in QUERIES.values():  # warm-up: JIT, file listing caches
-        run(fn)
+    errors: dict[str, str] = {}
+
+    def timed(name, fn) -> float | None:
+        if name in errors:
+            return None
+        try:
+            return run(fn)
+        except Exception as exc:  # report, keep timing the other queries
+            errors[name] = f"{type(exc).__name__}: {(str(exc).splitlines() or [''])[0][:300]}"
+            return None
+
+    for name, fn in QUERIES.items():  # warm-up: JIT, file listing caches
+        timed(name, fn)
     timings: dict[str, list[float]] = {name: [] for name in QUERIES}
     for _ in range(runs):
         for name, fn in QUERIES.items():
-            timings[name].append(run(fn))
-    medians = {name: round(statistics.median(ts), 3) for name, ts in timings.items()}
-    print(
-        json.dumps(
-            {
-                "metric": "total_median_query_time",
-                "value": round(sum(medians.values()), 3),
-                "unit": "sec",
-                "queries": medians,
-                "sf": _sf(sf_dir),
-                "cpus": cpus,
-                "runs": runs,
-                "spark": spark.version,
-            }
-        )
-    )
+            t = timed(name, fn)
+            if t is not None:
+                timings[name].append(t)
+    medians = {name: (round(statistics.median(ts), 3) if ts else None) for name, ts in timings.items()}
+    result = {
+        "metric": "total_median_query_time",
+        "value": round(sum(v for v in medians.values() if v is not None), 3),
+        "unit": "sec",
+        "queries": medians,
+        "sf": _sf(sf_dir),
+        "cpus": cpus,
+        "runs": runs,
+        "spark": spark.version,
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
