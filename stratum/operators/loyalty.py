@@ -112,8 +112,12 @@ def loyal_customers(
     id, repeated loads of one customer) is split over several join partitions:
     its customer rows get a salt in ``[0, n_salts)`` and its single aggregate
     row is repeated once per salt, so the join on ``(customer_id, salt)``
-    pairs each customer row with exactly one copy. Any salt assignment gives
-    the same result, so a retried task that salts differently is harmless.
+    pairs each customer row with exactly one copy.
+
+    The salt is a hash of the row and its input partition id. It does not
+    depend on row order, so a re-run task (lost executor, fetch failure)
+    sends every row to the same reducer as the first attempt; identical
+    copies of a row still spread, because they sit in many input partitions.
     """
     key_type = customers.schema[KEY].dataType
     if orders.schema[KEY].dataType != key_type:
@@ -127,12 +131,13 @@ def loyal_customers(
     agg = agg.filter((F.col("order_count") >= F.lit(int(min_orders))) & (F.col("total_spend") >= spend))
 
     hot = F.broadcast(hot_keys(customers, KEY, hot_key_rows))
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col("`" + n.replace("`", "``") + "`") for n in customers.columns])
     c = (
         customers.join(hot, on=KEY, how="left")
         .withColumn(
             SALT,
             F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
-                F.pmod(F.monotonically_increasing_id(), F.col(SALTS).cast("bigint")).cast("int")
+                F.pmod(row_hash, F.col(SALTS).cast("bigint")).cast("int")
             ),
         )
         .drop(SALTS)
