@@ -3,8 +3,8 @@
 Intermediate data (landing files written for a test query, scratch catalog
 schemas) lives under the shared folder the cluster names in
 ``spark.checkpoint.dir``, so any executor can read it and a lost executor
-does not lose it. A folder is set here only when the session has none, as in
-local tests.
+does not lose it. A folder is set here only when the session has none and
+runs in local mode, as in tests; on a cluster an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -29,7 +29,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="stratum-checkpoints-")
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a folder every executor can "
+                "reach (HDFS, object store); a driver-local folder would not be shared"
+            )
+        configured = tempfile.mkdtemp(prefix="stratum-checkpoints-")  # local mode only
     if sc is None:
         return configured.rstrip("/")
     sc.setCheckpointDir(configured)

@@ -54,11 +54,18 @@ def test_configured_but_not_applied_dir_is_applied():
 
 def test_unset_dir_gets_a_local_one_only_then():
     sc = _Context()
-    got = checkpoint_dir(_Session(sc))
+    got = checkpoint_dir(_Session(sc, conf={"spark.master": "local[4]"}))
     assert len(sc.set_calls) == 1 and "stratum-checkpoints-" in sc.set_calls[0]
     assert got.endswith("/uuid")
 
 
+def test_unset_dir_on_a_cluster_is_an_error():
+    import pytest
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session(_Context(), conf={"spark.master": "yarn"}))
+
+
 def test_connect_session_reads_conf():
     s = _Session(None, conf={"spark.checkpoint.dir": "abfss://c@a/ckpt/"})
     assert checkpoint_dir(s) == "abfss://c@a/ckpt"
