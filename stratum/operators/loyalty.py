@@ -103,11 +103,14 @@ def loyal_customers(
     orders: DataFrame,
     min_orders: int = DEFAULT_MIN_ORDERS,
     min_total_spend: float | Decimal = DEFAULT_MIN_TOTAL_SPEND,
-    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Customers with at least ``min_orders`` distinct orders and at least
     ``min_total_spend`` in total (both bounds inclusive).
 
+    ``hot_key_rows=None`` joins on ``customer_id`` alone, without salting
+    (for a customer table known to hold each key once).
+
     A customer key with ``hot_key_rows`` or more customer rows (a placeholder
     id, repeated loads of one customer) is split over several join partitions:
     its customer rows get a salt in ``[0, n_salts)`` and its single aggregate
@@ -130,6 +133,9 @@ def loyal_customers(
     spend = _spend_literal(min_total_spend, agg.schema["total_spend"].dataType)
     agg = agg.filter((F.col("order_count") >= F.lit(int(min_orders))) & (F.col("total_spend") >= spend))
 
+    if hot_key_rows is None:
+        return _select_output(customers.alias("c").join(agg.alias("o"), on=KEY, how="inner"))
+
     hot = F.broadcast(hot_keys(customers, KEY, hot_key_rows))
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col("`" + n.replace("`", "``") + "`") for n in customers.columns])
     c = (
@@ -149,7 +155,11 @@ def loyal_customers(
         .drop(SALTS)
         .alias("o")
     )
-    return c.join(o, on=[KEY, SALT], how="inner").select(
+    return _select_output(c.join(o, on=[KEY, SALT], how="inner"))
+
+
+def _select_output(joined: DataFrame) -> DataFrame:
+    return joined.select(
         F.col(KEY),
         F.col("c.customer_code").alias("customer_code"),
         F.col("c.first_name").alias("first_name"),

@@ -25,14 +25,14 @@ def build_loyal_customers(
     spec: Mapping[str, Any],
     *,
     table_format: str = DEFAULT_FORMAT,
-    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
 ) -> str | None:
     """Run a refined spec; return the target table name (``None`` if disabled).
 
     ``transformation.loyalty_min_orders`` / ``loyalty_min_total_spend`` set
     the thresholds (defaults 3 and 200.0). The mode defaults to append.
     ``hot_key_rows``: customer keys with at least this many rows are salted
-    in the join.
+    in the join (``None``: no salting).
     """
     validate_refined_spec(spec)
     if not spec.get("enabled", False):

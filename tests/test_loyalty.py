@@ -106,4 +106,5 @@ def test_salting_keeps_results(spark):
     o = orders(spark, [("1", 1, d("500.00"), None), ("2", 2, d("500.00"), None)])
     plain = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=10**6).collect())
     salted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=2).collect())
-    assert plain == salted and len(salted) == 8
+    unsalted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=None).collect())
+    assert plain == salted == unsalted and len(salted) == 8
