@@ -97,6 +97,11 @@ def q_loyal_hot_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loyal_customers(tpch.customers(spark, sf_dir), tpch.hot_customer_orders(spark, sf_dir))
 
 
+def q_loyal_hot_customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loyalty with a third of the customer rows on one key (join skew)."""
+    return loyal_customers(tpch.hot_key_customers(spark, sf_dir), tpch.orders(spark, sf_dir))
+
+
 def q_csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty orders CSV read and contracted."""
     config, file_name = _orders_landing(spark, sf_dir)
@@ -201,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loyal_customers": q_loyal_customers,
     "loyal_customers_defaults": q_loyal_customers_defaults,
     "loyal_hot_customer": q_loyal_hot_customer,
+    "loyal_hot_customer_rows": q_loyal_hot_customer_rows,
     "csv_contract": q_csv_contract,
     "contract_sequential": q_contract_sequential,
     "contract_report": q_contract_report,
@@ -228,6 +234,15 @@ SELECT c_custkey AS customer_id, c_name AS customer_code,
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """
 
+_HOT_KEY_CUSTOMERS_SQL = """
+SELECT CASE WHEN c_custkey % 3 = 0 THEN CAST(1 AS BIGINT) ELSE c_custkey END AS customer_id,
+       c_name AS customer_code,
+       split_part(c_name, '#', 1) AS first_name,
+       split_part(c_name, '#', 2) AS last_name,
+       n_name AS country
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+"""
+
 _ORDERS_SQL = """
 SELECT o_custkey AS customer_id, o_orderkey AS order_id,
        CAST(o_totalprice AS DECIMAL(12,2)) AS order_amount,
@@ -344,6 +359,7 @@ def _oracles() -> dict[str, str]:
         "loyal_customers": _loyal_sql(_CUSTOMERS_SQL, _ORDERS_SQL, n, spend),
         "loyal_customers_defaults": _loyal_sql(_CUSTOMERS_SQL, _ORDERS_SQL, 3, 200),
         "loyal_hot_customer": _loyal_sql(_CUSTOMERS_SQL, _HOT_ORDERS_SQL, 3, 200),
+        "loyal_hot_customer_rows": _loyal_sql(_HOT_KEY_CUSTOMERS_SQL, _ORDERS_SQL, 3, 200),
         "csv_contract": _CONTRACTED_ORDERS_SQL,
         "contract_sequential": """
 SELECT o_orderkey, o_custkey, o_orderstatus,

@@ -94,6 +94,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_key_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed customers where a third of the rows carry one customer key."""
+    return customers(spark, sf_dir).withColumn(
+        "customer_id",
+        F.when((F.col("customer_id") % HOT_CUSTOMER_EVERY) == 0, F.lit(HOT_CUSTOMER_ID).cast("bigint")).otherwise(
+            F.col("customer_id")
+        ),
+    )
+
+
 def hot_customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed orders where one customer holds a third of all orders."""
     return orders(spark, sf_dir).withColumn(
