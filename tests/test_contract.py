@@ -177,3 +177,11 @@ def test_wide_contract_few_projections_and_odd_names(spark):
     assert report[("c0", "null_in_required")] == 5
     assert report[("*", "rows_dropped")] == 5
     assert len(report) == 1 + n + 3 + 1
+
+
+def test_pass_through_types_match_column_try_cast(spark):
+    df = spark.createDataFrame([("abcdef",)], "v string")
+    for typ in ("varchar(3)", "char(2)", "binary", "interval day"):
+        want = df.select(F.col("v").try_cast(typ).alias("v")).collect()
+        got = apply_contract(df, [{"name": "v", "type": typ.upper(), "nullable": True}]).collect()
+        assert got == want, typ
