@@ -100,10 +100,6 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _sql_string(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _type_sql(declared: str) -> str:
     t = spark_type(declared)
     return t if isinstance(t, str) else t.simpleString()
@@ -227,5 +223,11 @@ def contract_report(df: DataFrame, columns: Contract) -> DataFrame:
         metrics.append((ALL_COLUMNS, RULE_ROWS_DROPPED, "CAST(0 AS BIGINT)"))
 
     counts = applied.selectExpr(*[f"CAST({e} AS BIGINT) AS m{k}" for k, (_, _, e) in enumerate(metrics)])
-    triples = ", ".join(f"{_sql_string(c)}, {_sql_string(r)}, m{k}" for k, (c, r, _) in enumerate(metrics))
-    return counts.selectExpr(f"stack({len(metrics)}, {triples}) AS (column_name, rule, n_rows)")
+    pairs = ", ".join(f"{k}, m{k}" for k in range(len(metrics)))
+    by_index = counts.selectExpr(f"stack({len(metrics)}, {pairs}) AS (k, n_rows)")
+    # Names come from a small local table (one row per metric), not from SQL
+    # string literals, so any column name survives any literal-escaping mode.
+    labels = df.sparkSession.createDataFrame(
+        [(k, c, r) for k, (c, r, _) in enumerate(metrics)], "k int, column_name string, rule string"
+    )
+    return by_index.join(F.broadcast(labels), "k").select("column_name", "rule", "n_rows")

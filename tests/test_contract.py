@@ -185,3 +185,16 @@ def test_pass_through_types_match_column_try_cast(spark):
         want = df.select(F.col("v").try_cast(typ).alias("v")).collect()
         got = apply_contract(df, [{"name": "v", "type": typ.upper(), "nullable": True}]).collect()
         assert got == want, typ
+
+
+def test_report_names_survive_literal_escaping_modes(spark):
+    name = "it's \\\\ odd"
+    df = spark.createDataFrame([("x",)], f"`{name}` string")
+    contract = [{"name": name, "type": "long", "nullable": False}]
+    for mode in ("false", "true"):
+        spark.conf.set("spark.sql.parser.escapedStringLiterals", mode)
+        try:
+            got = {(r.column_name, r.rule): r.n_rows for r in contract_report(df, contract).collect()}
+        finally:
+            spark.conf.unset("spark.sql.parser.escapedStringLiterals")
+        assert got[(name, "cast_failed")] == 1 and got[(name, "null_in_required")] == 1
