@@ -139,3 +139,15 @@ def test_build_input_path_never_doubles_slashes(base, folder, name):
     assert path.endswith(name.lstrip("/"))
     if folder.startswith(("/", "abfss://")):  # absolute: the base is ignored
         assert path == folder.rstrip("/") + "/" + name.lstrip("/")
+
+
+def test_lookup_broadcast_only_within_bound(spark):
+    from conftest import SF_SMALL
+    from stratum.sources import tpch
+
+    nation = tpch.table(spark, SF_SMALL, "nation")
+    small = tpch._small_lookup(nation, max_rows=25)  # 25 rows: within the bound
+    large = tpch._small_lookup(nation, max_rows=24)  # over the bound: left to the planner
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(small).lower()
+    assert "broadcast" not in plan(large).lower()
