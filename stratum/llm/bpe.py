@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.llm.common import append_column, text_slices, with_field
+from stratum.llm.words import WordSplitter, splitter_spec
 
 #: Words kept in a worker's memo before it is emptied.
 MEMO_WORDS = 400_000
@@ -113,12 +114,11 @@ class _Memo(dict):
         return ids
 
 
-def _encode_batches(batches, *, ranks, pattern: str, text: str, out: str, memo_words: int):
+def _encode_batches(batches, *, ranks, splitter, text: str, out: str, memo_words: int):
     import numpy as np
     import pyarrow as pa
-    import regex
 
-    words = regex.compile(pattern).findall
+    words = WordSplitter(splitter)
     memo = _Memo(ranks)
     for batch in batches:
         column = batch.column(text)
@@ -145,7 +145,7 @@ def encode(
     """``docs`` with ``out``: the token ids of each whole text, array<int>."""
     schema = with_field(docs.schema, out, T.ArrayType(T.IntegerType(), False))
     run: Callable = partial(
-        _encode_batches, ranks=ranks, pattern=pattern, text=text, out=out, memo_words=memo_words
+        _encode_batches, ranks=ranks, splitter=splitter_spec(pattern), text=text, out=out, memo_words=memo_words
     )
     return docs.mapInArrow(run, schema)
 

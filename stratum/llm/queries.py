@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratum.llm import bpe
+from stratum.llm import bpe, token_count
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "token_ids")
     return bpe.decode(encoded, ranks).select("doc_id", *bpe.digests(encoded))
+
+
+@query
+def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text of documents by the word_bpe_49k tokenizer."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_count.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > 2048).alias("over_limit"),
+    )
