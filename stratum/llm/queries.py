@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, token_count
+from stratum.llm import bpe, mixing, sharding, token_count
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,75 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         (F.col("n_tokens") > 2048).alias("over_limit"),
     )
+
+
+@query
+def op2_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal size."""
+    rows = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+    )
+
+
+@query
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by weights 5, 2, 1 under a time-varying curriculum;
+    rows come in order of the first training position."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    taken = F.aggregate("passes", F.lit(0).cast("bigint"), lambda n, p: n + p["taken"])
+    return (
+        mixing.allot(docs, mixing.curriculum)
+        .select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.get("passes.position", F.lit(0)).alias("position"))
+        .orderBy("position", "doc_id")
+    )
+
+
+ORACLES["op7_curriculum_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE kind WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+         CASE kind WHEN 0 THEN -0.5::DOUBLE WHEN 1 THEN 0.0::DOUBLE ELSE 0.5::DOUBLE END AS tilt FROM s
+), o AS (  -- by size over weight: a source is full exactly if it is with all before it full
+  SELECT *, (SELECT sum(source_size) FROM w)
+            - 3 * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM w WINDOW o AS (ORDER BY source_size / weight, source)
+), f AS (
+  SELECT *, rest::DOUBLE * weight / weights >= 3 * source_size AS is_full FROM o
+), c AS (
+  SELECT coalesce(sum(source_size) FILTER (is_full), 0) AS held, sum(weight) FILTER (NOT is_full) AS open FROM f
+), t AS (
+  SELECT f.source, source_size, weight, tilt,
+         CASE WHEN is_full THEN (3 * source_size)::DOUBLE
+              ELSE ((SELECT sum(source_size) FROM w) - 3 * held)::DOUBLE * weight / open END AS target
+  FROM f, c
+), r AS (
+  SELECT doc_id, size, source_size, target, weight * (1 - tilt) AS w0, weight * (1 + tilt) AS w1,
+         (sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR), doc_id, size
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), p AS (
+  SELECT *, least(size, greatest(0, floor(target)::BIGINT - start)) AS p0,
+         least(size, greatest(0, floor(target)::BIGINT - start - source_size)) AS p1,
+         least(size, greatest(0, floor(target)::BIGINT - start - 2 * source_size)) AS p2
+  FROM r
+), q AS (
+  SELECT *, ((start + p0) / target) * ((w0 + w1) / 2) AS need FROM p
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target, (p0 + p1 + p2)::BIGINT AS taken,
+       CASE WHEN p0 > 0 THEN least(2 * need / (sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * need, 0.0)) + w0), 1.0) END AS position
+FROM q
+"""
