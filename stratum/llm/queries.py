@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, mixing, sharding, token_count
+from stratum.llm import bpe, langid, mixing, sharding, token_count
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,12 @@ SELECT doc_id, size::BIGINT AS size, source_size, target, (p0 + p1 + p2)::BIGINT
        CASE WHEN p0 > 0 THEN least(2 * need / (sqrt(greatest(w0 * w0 + 2 * (w1 - w0) * need, 0.0)) + w0), 1.0) END AS position
 FROM q
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of documents, learned from the labels of the
+    documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(langid.held_out(), F.lit(False)))
+    model = langid.train(docs.where(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
