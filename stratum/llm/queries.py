@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, langid, mixing, sharding, token_count
+from stratum.llm import bpe, langid, mixing, quality, sharding, token_count
 from stratum.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,41 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(langid.held_out(), F.lit(False)))
     model = langid.train(docs.where(~F.col("held_out")))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every text of documents."""
+    return quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+ORACLES["op8_quality_cascade"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), n AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 7), ' ') AS words
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)
+), r AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, words) AS k FROM n) WHERE k > 1
+), c AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM r, range(8) AS o(j) GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, t, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN c ON c.doc_id = w.doc_id
+), b AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > n_words
+            OR 10 * n_dup_lines > 3 * (length(t) - length(replace(t, chr(10), '')) + 1)
+            OR 10 * length(regexp_replace(t, '[^0-9]', '', 'g')) > 3 * word_chars
+            OR 5 * (length(t) - length(replace(t, '!', ''))) > n_words
+            OR 10 * length(regexp_replace(t, '[^\p{L}]', '', 'g')) < 6 * word_chars) AS kept
+FROM b
+"""
