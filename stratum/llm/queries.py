@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, langid, mixing, quality, sharding, token_count
-from stratum.llm.common import table
+from stratum.llm import bpe, chat, langid, mixing, quality, sharding, token_count
+from stratum.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 10 * length(regexp_replace(t, '[^\p{L}]', '', 'g')) < 6 * word_chars) AS kept
 FROM b
 """
+
+
+@query
+def op6_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that imitates the template, formatted and
+    read back."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
+    imitation = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", imitation), (-7, 1, "assistant", imitation)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    messages = stored(chat.from_turns(rows.unionByName(extra)), "chat-messages")
+    formatted = chat.format_paths(chat.reply_paths(messages), messages)
+    read = formatted.select(
+        F.col("tree").try_cast("bigint").alias("conv_id"),
+        chat.read_back(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+ORACLES["op6_chat_trees"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g')) AS text_chars,
+         length(role) + length(regexp_replace(role, '[^\\<#:\n]', '', 'g')) AS role_chars FROM c
+)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(text_chars + role_chars + 14)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
