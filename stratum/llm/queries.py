@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, chat, langid, mixing, quality, sharding, token_count
+from stratum.llm import bpe, chat, langid, mixing, quality, sharding, token_count, vectors
 from stratum.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +208,9 @@ SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
        sum(text_chars + role_chars + 14)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings with their links and components."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
