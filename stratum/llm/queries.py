@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, chat, langid, mixing, quality, repeats, sharding, token_count, vectors
+from stratum.llm import bpe, chat, langid, mixing, near_texts, quality, repeats, sharding, token_count, vectors
 from stratum.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +220,9 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of documents without its repeated 400-byte strings."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+@query
+def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their class of near-duplicate texts."""
+    return near_texts.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
