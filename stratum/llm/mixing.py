@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.llm.common import stored
+
 #: What separates words: space and the ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 #: A schedule: (time, weight) knots, times ascending from 0 to 1.
@@ -160,6 +162,24 @@ def allot(
     )
 
 
+def mixed(docs: DataFrame, schedule_of: Callable[[int], Schedule], id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` in training order, each as often as the mix takes
+    it: a pass counts if it takes at least half of the document's words, and
+    then the document is whole. Rows with equal id, source and size count
+    alike."""
+    plan = allot(docs, schedule_of, id, text, source, **options)
+    plan = plan.groupBy(id, source, "size").agg(F.min("passes").alias("passes"))
+    plan = plan.select(
+        F.col(id).alias("__id"),
+        F.col(source).alias("__source"),
+        F.col("size").alias("__planned"),
+        F.explode(F.filter("passes", lambda p: 2 * p["taken"] >= F.col("size"))).alias("__pass"),
+    )
+    same = F.col(id).eqNullSafe(F.col("__id")) & F.col(source).cast("string").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__planned"))
+    rows = docs.withColumn("__size", word_count(F.col(text))).join(stored(plan, "mix-plan"), same)
+    return rows.orderBy("__pass.position", id).select(*docs.columns)
+
+
 def curriculum(rank: int) -> Schedule:
     """Weights 5, 2, 1, repeating by rank. Heavy sources fade over the training
     and light ones grow; each integral is the weight itself."""

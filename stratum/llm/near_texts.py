@@ -232,3 +232,9 @@ def near_classes(
     return found.unionByName(alone).select(
         F.col("id").alias(id), "class_id", (F.col("id") == F.col("class_id")).alias("kept")
     )
+
+
+def without_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class, that of the smallest id."""
+    dropped = near_classes(docs, id, text, **options).where(~F.col("kept")).select(F.col(id)).distinct()
+    return docs.join(stored(dropped, "near-dropped"), id, "left_anti").select(*docs.columns)

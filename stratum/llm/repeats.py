@@ -167,12 +167,13 @@ def _split_batches(batches, *, length: int, group: int):
 
 
 def _cut_batches(batches):
-    """Each text's bytes outside its covered strings."""
+    """Each text's bytes outside its covered strings, and the text they make
+    (characters that lost some of their bytes go)."""
     import numpy as np
     import pyarrow as pa
 
     for batch in batches:
-        keys, removed, spans, kept = [], [], [], []
+        keys, removed, spans, kept, rest = [], [], [], [], []
         texts = batch.column("text").to_pylist()
         for key, text, covered in zip(batch.column("key").to_pylist(), texts, batch.column("covered")):
             data = text.encode()
@@ -185,10 +186,12 @@ def _cut_batches(batches):
             removed.append(int(gone.sum()))
             spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
             kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes())
+            rest.append(kept[-1].decode(errors="ignore"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
-            names=["key", "n_removed", "n_spans", "kept"],
-        )
+            [pa.array(keys, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary()),
+             pa.array(rest, pa.string())],
+            names=["key", "n_removed", "n_spans", "kept", "rest"],
+        )
 
 
 def _round(rows: DataFrame, length: int, last: bool):
@@ -208,8 +211,8 @@ def _round(rows: DataFrame, length: int, last: bool):
 def repeated_texts(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 400):
     """(rows, cut): ``rows`` has for each row of ``docs`` its id, key (names
     equal texts), n_bytes and sha256; ``cut`` has for each key its copies and,
-    if it holds a repeated string, n_removed, n_spans and kept, the remaining
-    bytes."""
+    if it holds a repeated string, n_removed, n_spans, kept (the remaining
+    bytes) and rest (the text they make)."""
     value = F.coalesce(F.col(text), F.lit(""))
     plain = docs.select(F.col(id).alias("id"), value.alias("text")).withColumn("key", F.xxhash64("text"))
     rows = stored(
@@ -235,7 +238,7 @@ def repeated_texts(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
         parts.append(covered)
     covered = parts[0].unionByName(parts[1]).unionByName(parts[2])
     ranges = covered.groupBy("key").agg(F.collect_list(F.struct("lo", "end")).alias("covered"))
-    cut = moved.join(ranges, "key").mapInArrow(_cut_batches, "key bigint, n_removed bigint, n_spans bigint, kept binary")
+    cut = moved.join(ranges, "key").mapInArrow(_cut_batches, "key bigint, n_removed bigint, n_spans bigint, kept binary, rest string")
     known = texts.select("key", "copies").join(cut.dropDuplicates(["key"]), "key", "left")
     return rows, stored(known, "repeats-cut")
 
@@ -255,3 +258,14 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
         kept.alias("kept"),
         F.when(kept.isNull(), F.col("sha256")).otherwise(F.sha2(kept, 256)).alias("kept_sha256"),
     )
+
+
+def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
+    """``docs`` with each text replaced by what is left of it; a null text
+    stays null. Characters that lost some of their bytes go."""
+    _, cut = repeated_texts(docs, id, text, length)
+    cut = cut.select(F.col("key").alias("__key"), F.col("copies").alias("__copies"), F.col("rest").alias("__rest"))
+    value = F.col(text)
+    left = F.when((F.col("__copies") > 1) & (F.octet_length(text) >= length), F.lit("")).otherwise(F.coalesce("__rest", value))
+    joined = docs.withColumn("__key", F.xxhash64(F.coalesce(value, F.lit("")))).join(cut, "__key", "left")
+    return joined.withColumn(text, F.when(value.isNotNull(), left)).select(*docs.columns)
