@@ -62,20 +62,23 @@ def reply_paths(messages: DataFrame, top: int = 1) -> DataFrame:
         "chat-reach-0",
     )
     n = reach.count()
+    # messages that know their root are done; only the others are joined again
+    whole, open_ = reach.where("up IS NULL"), reach.where("up IS NOT NULL")
     levels = []
-    for k in range(1, 2 + math.ceil(math.log2(max(2, n)))):
-        level = reach.where("up IS NOT NULL").select("node", "up")
-        if level.isEmpty():
+    for k in range(1, 2 + math.ceil(math.log2(max(2, n)))):  # more only at a cycle
+        if open_.isEmpty():
             break
-        levels.append(level)
-        above = reach.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"))
+        levels.append(open_.select("node", "up"))
+        known = whole.unionByName(open_)
+        above = known.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"))
         reach = stored(
-            reach.join(above, "up", "left").select(
-                "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score")
+            open_.join(above, "up").select(
+                "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score")
             ),
             f"chat-reach-{k}",
         )
-    whole = reach.where("up IS NULL").select("tree", "node", "score")  # all but those at a cycle
+        whole, open_ = whole.unionByName(reach.where("up IS NULL")), reach.where("up IS NOT NULL")
+    whole = whole.select("tree", "node", "score")
     leaves = whole.join(nodes.select(F.col("parent").alias("node")), "node", "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
     # the filter on the rank also runs before the shuffle: a large tree sends top rows a task
