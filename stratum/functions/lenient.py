@@ -2,10 +2,8 @@
 
 Contracts were written for an engine where a bad cast or an unparsable date
 gives NULL. Spark 4 runs with ANSI mode on, where the same expression fails the
-whole job. Two tools restore the lenient result:
+whole job. Declared types use ``try_cast``; for free text,
 
-* :func:`lenient_cast` uses ``try_cast`` (same results as a non-ANSI cast for
-  bad, padded and overflowing values).
 * :func:`lenient_sql` analyses a free-text SQL expression with ANSI mode off.
   A classic Spark session analyses ``withColumn`` eagerly and the chosen
   evaluation mode is stored in the analysed expressions, so the plan keeps the
@@ -22,11 +20,8 @@ from __future__ import annotations
 import threading
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .types import spark_type
 
 _ANSI_KEY = "spark.sql.ansi.enabled"
 _conf_lock = threading.Lock()
@@ -47,13 +42,6 @@ def ansi_disabled(spark: SparkSession):
                 spark.conf.set(_ANSI_KEY, previous)
 
 
-def lenient_cast(col: Column | str, declared: str | T.DataType) -> Column:
-    """Cast to a declared type; a value that does not fit becomes NULL."""
-    c = F.col(col) if isinstance(col, str) else col
-    target = spark_type(declared) if isinstance(declared, str) else declared
-    return c.try_cast(target)
-
-
 def lenient_sql(df: DataFrame, name: str, sql: str) -> DataFrame:
     """``df.withColumn(name, expr(sql))`` analysed with ANSI mode off."""
     with ansi_disabled(df.sparkSession):

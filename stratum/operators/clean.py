@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import name_parts, quote
+
 logger = logging.getLogger(__name__)
 
 
@@ -23,10 +25,14 @@ def present_predicate(df: DataFrame, columns: Sequence[str]) -> Column:
     types = {f.name: f.dataType for f in df.schema.fields}
     preds = []
     for name in columns:
-        q = "`" + name.replace("`", "``") + "`"
-        preds.append(f"{q} IS NOT NULL")
-        if isinstance(types.get(name), (T.FloatType, T.DoubleType)):
-            preds.append(f"NOT isnan({q})")
+        if name in types:
+            sql, dtype = quote(name), types[name]
+        else:  # another case, or a field of a struct: Spark resolves the name
+            sql = ".".join(quote(p) for p in name_parts(name))
+            dtype = df.selectExpr(sql).schema[0].dataType
+        preds.append(f"{sql} IS NOT NULL")
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            preds.append(f"NOT isnan({sql})")
     # One SQL expression: a single JVM call even for hundreds of columns.
     return F.expr(" AND ".join(preds))
 

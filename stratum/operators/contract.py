@@ -14,7 +14,9 @@ Semantics (kept from the reference behaviour):
   enforced. It is analysed leniently, so a bad date gives NULL instead of an
   error under ANSI mode.
 * Without ``transform_sql`` the column is cast to its declared type with
-  ``try_cast``: a value that does not fit becomes NULL.
+  ``try_cast``: a value that does not fit becomes NULL, also a number out of
+  range from a typed column (it never wraps around). A pair of types that
+  Spark never casts (a date as an int) gives NULL in every row.
 * A column absent from the input (case-sensitive name match) raises
   ``ValueError`` when ``nullable`` is literally ``False``; otherwise it is
   skipped and no column is added.
@@ -35,10 +37,13 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.lenient import lenient_sql
+from ..functions.names import quote
 from ..functions.types import spark_type
 
 logger = logging.getLogger(__name__)
@@ -69,7 +74,7 @@ class ContractColumn:
     def from_dict(data: Mapping[str, Any]) -> ContractColumn:
         for key in ("name", "type", "nullable"):
             if key not in data:
-                raise ValueError(f"Column missing required field: {key}")
+                raise ValueError(f"A column rule needs {key!r}")
         return ContractColumn(
             name=data["name"],
             type=data["type"],
@@ -86,25 +91,34 @@ def parse_contract(columns: Contract) -> list[ContractColumn]:
     """Accept a list of rules, or a schema object ``{"columns": [...]}``."""
     if isinstance(columns, Mapping):
         if not isinstance(columns.get("columns"), list):
-            raise ValueError("Schema must contain a 'columns' list")
+            raise ValueError("A contract object needs 'columns', a list of column rules")
         columns = columns["columns"]
     return [c if isinstance(c, ContractColumn) else ContractColumn.from_dict(c) for c in columns]
 
 
-def _col(name: str) -> Column:
-    return F.col(quote(name))
-
-
-def quote(name: str) -> str:
-    """Back-quoted SQL identifier."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _type_sql(declared: str) -> str:
     t = spark_type(declared)
     return t if isinstance(t, str) else t.simpleString()
 
 
+def _cast_sql(df: DataFrame, name: str, declared: str) -> str:
+    """``try_cast`` of a column; typed NULL where Spark refuses the pair of
+    types altogether (a date as an int). Text casts to every declared type, so
+    only typed columns are tried."""
+    target = _type_sql(declared)
+    cast = f"try_cast({quote(name)} AS {target})"
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return cast
+    try:
+        df.selectExpr(cast)
+    except AnalysisException as refused:
+        if "DATATYPE_MISMATCH" not in (refused.getCondition() or ""):
+            raise
+        logger.warning("Column %s cannot be cast to %s: every value becomes NULL", name, target)
+        return f"CAST(NULL AS {target})"
+    return cast
+
+
 def _snapshot_names(i: int) -> tuple[str, str]:
     return f"__contract_in_{i}", f"__contract_out_{i}"
 
@@ -141,8 +155,8 @@ def _apply_rules(df: DataFrame, rules: Iterable[ContractColumn], snapshots: bool
     for i, rule in enumerate(rules):
         if rule.name not in present:
             if rule.required:
-                raise ValueError(f"Missing required column in input: {rule.name}")
-            logger.warning("Optional column missing in input: %s", rule.name)
+                raise ValueError(f"Contract requires column {rule.name!r}, which the input lacks")
+            logger.warning("Skipping column %s: not in the input", rule.name)
             continue
         before, after = _snapshot_names(i)
         if rule.name in pending:
@@ -156,7 +170,7 @@ def _apply_rules(df: DataFrame, rules: Iterable[ContractColumn], snapshots: bool
                 pending[after] = quote(rule.name)
                 pending.setdefault(rule.name, quote(rule.name))  # a later rule on it flushes first
         else:
-            cast = f"try_cast({quote(rule.name)} AS {_type_sql(rule.type)})"
+            cast = _cast_sql(df, rule.name, rule.type)
             pending[rule.name] = cast
             if snapshots:
                 pending[before] = quote(rule.name)

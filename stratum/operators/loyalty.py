@@ -52,10 +52,16 @@ DEFAULT_MIN_TOTAL_SPEND = 200.0
 
 # A customer key with at least this many rows is salted in the join.
 DEFAULT_HOT_KEY_ROWS = 1_000_000
+# Below this a salt costs more than it spreads; also bounds the salts of a key.
+MIN_HOT_KEY_ROWS = 50
+# At most so many keys are salted: 12 bytes each in the broadcast.
+MAX_HOT_KEYS = 100_000
 SALT = "__salt"
 SALTS = "__n_salts"
 
 KEY = "customer_id"
+CUSTOMER_COLUMNS = (KEY, "customer_code", "first_name", "last_name", "country")
+ORDER_COLUMNS = (KEY, "order_id", "order_amount", "order_date")
 OUTPUT_COLUMNS = (
     "customer_id",
     "customer_code",
@@ -83,21 +89,31 @@ def order_aggregate(orders: DataFrame) -> DataFrame:
     )
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """``key, n_salts``: keys holding at least ``min_rows`` rows, and into how
     many salted partitions each is split (``ceil(rows / min_rows)``).
 
-    At most ``rows(df) / min_rows`` keys qualify, which bounds the frame that
-    is broadcast. The count is a partial-then-final aggregate, so a key with a
-    third of all rows is collapsed map-side before the shuffle.
+    At most ``max_keys`` keys, those with most rows (ties by key), which bounds
+    the frame that is broadcast; the join treats any further key like an
+    ordinary one, so the bound never costs a row. The count is a
+    partial-then-final aggregate, so a key with a third of all rows is
+    collapsed map-side before the shuffle.
     """
     m = int(min_rows)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") >= F.lit(m)).select(
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= F.lit(m))
+    return counts.orderBy(F.desc("n"), key).limit(max_keys).select(
         key, F.expr(f"CAST((n + {m - 1}) div {m} AS INT)").alias(SALTS)  # integer ceil
     )
 
 
+def _check_hot_key_rows(value: int | None) -> int | None:
+    if value is None:
+        return None
+    if isinstance(value, bool) or not isinstance(value, int) or value < MIN_HOT_KEY_ROWS:
+        raise ValueError(f"hot_key_rows must be None or an integer of at least {MIN_HOT_KEY_ROWS}, not {value!r}")
+    return value
+
+
 def loyal_customers(
     customers: DataFrame,
     orders: DataFrame,
@@ -117,16 +133,19 @@ def loyal_customers(
     row is repeated once per salt, so the join on ``(customer_id, salt)``
     pairs each customer row with exactly one copy.
 
-    The salt is a hash of the row and its input partition id. It does not
-    depend on row order, so a re-run task (lost executor, fetch failure)
-    sends every row to the same reducer as the first attempt; identical
-    copies of a row still spread, because they sit in many input partitions.
+    The salt is a hash of the row's five columns and its input partition id.
+    It does not depend on row order, so a re-run task (lost executor, fetch
+    failure) sends every row to the same reducer as the first attempt;
+    identical copies of a row still spread, because they sit in many input
+    partitions. Columns beyond the five are never read. Names resolve as
+    Spark resolves them (without regard to case by default).
     """
+    hot_key_rows = _check_hot_key_rows(hot_key_rows)
+    customers = drop_nulls(customers.select(*(F.col(n).alias(n) for n in CUSTOMER_COLUMNS)), [KEY])
+    orders = orders.select(*(F.col(n).alias(n) for n in ORDER_COLUMNS))
     key_type = customers.schema[KEY].dataType
     if orders.schema[KEY].dataType != key_type:
         orders = orders.withColumn(KEY, F.col(KEY).try_cast(key_type))
-
-    customers = drop_nulls(customers, [KEY])
     orders = drop_nulls(orders, [KEY, "order_id", "order_amount"])
 
     agg = order_aggregate(orders)
@@ -137,7 +156,7 @@ def loyal_customers(
         return _select_output(customers.alias("c").join(agg.alias("o"), on=KEY, how="inner"))
 
     hot = F.broadcast(hot_keys(customers, KEY, hot_key_rows))
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col("`" + n.replace("`", "``") + "`") for n in customers.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *CUSTOMER_COLUMNS)
     c = (
         customers.join(hot, on=KEY, how="left")
         .withColumn(

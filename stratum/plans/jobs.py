@@ -33,18 +33,19 @@ def load_spec(spark: SparkSession, path: str) -> dict[str, Any]:
     anything else (object store, HDFS URL) is read through Spark.
     """
     if not path:
-        raise ValueError("metadata_path not given")
+        raise ValueError("A job needs the path of its spec file (metadata_path)")
     if os.path.isfile(path):
         with open(path, encoding="utf-8") as f:
             return json.loads(f.read())
-    rows = spark.read.text(path, wholetext=True).take(1)
-    if not rows:
-        raise ValueError(f"Empty spec file: {path}")
-    return json.loads(rows[0][0])
+    files = spark.read.text(path, wholetext=True).take(2)
+    if len(files) != 1:
+        raise ValueError(f"{path} must name exactly one spec file; it matches {'several' if files else 'no text'}")
+    return json.loads(files[0][0])
 
 
 def _session(spark: SparkSession | None) -> SparkSession:
-    return spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    """The given session, else the running one (or a new one)."""
+    return SparkSession.builder.getOrCreate() if spark is None else spark
 
 
 class RawIngestJob:
@@ -59,8 +60,6 @@ class RawIngestJob:
         table_format: str = DEFAULT_FORMAT,
         jdbc_options: Mapping[str, Any] | None = None,
     ):
-        if not metadata_path:
-            raise ValueError("metadata_path not given")
         self.config = dict(config or {})
         self.metadata_path = metadata_path
         self.table_format = table_format
@@ -91,8 +90,6 @@ class LoyalCustomersJob:
         table_format: str = DEFAULT_FORMAT,
         hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
     ):
-        if not metadata_path:
-            raise ValueError("metadata_path not given")
         self.config = dict(config or {})
         self.metadata_path = metadata_path
         self.table_format = table_format

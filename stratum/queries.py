@@ -13,10 +13,11 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators.clean import drop_nulls
 from .operators.contract import apply_contract, contract_report
-from .operators.lineage import add_load_columns
+from .operators.lineage import RUN_ID_CONF_KEY, add_load_columns
 from .operators.loyalty import loyal_customers
 from .plans.examples import CUSTOMERS_CONTRACT, ORDERS_CONTRACT, csv_spec, loyal_spec
 from .plans.raw import ingest_raw, read_raw_source
@@ -98,8 +99,9 @@ def q_loyal_hot_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_loyal_hot_customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loyalty with a third of the customer rows on one key (join skew)."""
-    return loyal_customers(tpch.hot_key_customers(spark, sf_dir), tpch.orders(spark, sf_dir))
+    """Loyalty with a third of the customer rows on one key (join skew), split
+    from 100 rows on so that the split runs at every size of the table."""
+    return loyal_customers(tpch.hot_key_customers(spark, sf_dir), tpch.orders(spark, sf_dir), hot_key_rows=100)
 
 
 def q_csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +133,8 @@ def q_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_drop_nulls_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NULL or NaN in the named columns drops the row."""
-    return drop_nulls(tpch.orders_with_gaps(spark, sf_dir), ["customer_id", "price"])
+    """NULL or NaN in the named columns (in another case) drops the row."""
+    return drop_nulls(tpch.orders_with_gaps(spark, sf_dir), ["Customer_ID", "PRICE"])
 
 
 def q_drop_nulls_any(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +204,91 @@ def q_double_load_loyal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loyal_from_raw(spark, sf_dir, 2, DOUBLE_LOAD_THRESHOLDS)
 
 
+TYPED_CONTRACT = [
+    {"name": "c_string", "type": "string", "nullable": False},
+    *(
+        {"name": f"c_{name}", "type": declared, "nullable": True}
+        for name, declared in {
+            "long": "long", "bigint": "bigint", "int": "int", "integer": "integer", "short": "short", "byte": "byte",
+            "boolean": "boolean", "float": "float", "double": "double", "date": "date", "timestamp": "timestamp",
+            "decimal": "decimal", "decimal10": "decimal(10)", "money": "decimal(12,2)",
+        }.items()
+    ),
+]
+
+
+def _as_seconds(df: DataFrame, name: str) -> DataFrame:
+    """A timestamp as text in the session's time zone, so it compares alike everywhere."""
+    return df.withColumn(name, F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_csv_typed_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV landing file of lineitem with bad, overflowing and padded
+    values under a contract that uses every declared type name."""
+    base = scratch_path(spark, "landing-typed")
+    out = tpch.typed_landing(spark, sf_dir).write.option("header", True)
+    # the writer would trim padded values
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/items/typed.csv")
+    spec = csv_spec("items/", "typed.csv", TYPED_CONTRACT, schema="not_written", table="not_written")
+    return _as_seconds(read_raw_source(spark, spec, {"landing": base}), "c_timestamp")
+
+
+def q_typed_source_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 on typed columns: numbers out of range become NULL, a pair of types
+    that is never cast gives NULL."""
+    lines = tpch.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("key"),
+        F.col("l_linenumber").cast("int").alias("line"),
+        (F.col("l_orderkey") * F.when(F.col("l_orderkey") % 3 == 0, 1_000_000_000).otherwise(1)).alias("big"),
+        (F.col("l_extendedprice") * F.when(F.col("l_orderkey") % 5 == 0, 1e9).otherwise(0.0)).alias("wide"),
+        F.col("l_shipdate").cast("date").alias("day"),
+        F.to_timestamp(F.concat(F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd"), F.lit(" 23:59:59"))).alias("moment"),
+        F.col("l_shipdate").cast("date").alias("refused"),
+    )
+    contract = [
+        {"name": "key", "type": "string", "nullable": False},
+        {"name": "line", "type": "long", "nullable": False},
+        {"name": "big", "type": "int", "nullable": True},
+        {"name": "wide", "type": "int", "nullable": True},
+        {"name": "day", "type": "string", "nullable": True},
+        {"name": "moment", "type": "date", "nullable": True},
+        {"name": "refused", "type": "int", "nullable": True},
+    ]
+    return apply_contract(lines, contract)
+
+
+def q_default_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run id from the session setting and today's date."""
+    before = spark.conf.get(RUN_ID_CONF_KEY, None)
+    spark.conf.set(RUN_ID_CONF_KEY, "scheduled-42")
+    try:
+        stamped = add_load_columns(tpch.orders(spark, sf_dir))
+    finally:
+        if before is None:
+            spark.conf.unset(RUN_ID_CONF_KEY)
+        else:
+            spark.conf.set(RUN_ID_CONF_KEY, before)
+    return stamped.select(
+        "order_id", "run_id", F.col("ingestion_date").eqNullSafe(F.current_date()).alias("stamped_today")
+    )
+
+
+def q_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another delimiter, quoted delimiters, a NULL marker, and an
+    option without a value."""
+    landing = tpch.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat("o_orderpriority", F.lit("|"), "o_orderstatus").alias("tag"),
+        F.when(F.col("o_orderkey") % tpch.BAD_AMOUNT_EVERY == 0, F.lit("-")).otherwise(F.col("o_orderstatus")).alias("status"),
+    )
+    base = scratch_path(spark, "landing-options")
+    landing.write.option("header", True).option("sep", "|").csv(f"{base}/orders/options.csv")
+    options = {"header": True, "delimiter": "|", "quote": '"', "nullValue": "-", "comment": None, "encoding": "UTF-8"}
+    contract = [{"name": "o_orderkey", "type": "long", "nullable": False}]
+    spec = csv_spec("orders/", "options.csv", contract, schema="not_written", table="not_written", read_options=options)
+    return read_raw_source(spark, spec, {"landing": base})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loyal_customers": q_loyal_customers,
     "loyal_customers_defaults": q_loyal_customers_defaults,
@@ -218,6 +305,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "create_empty_then_append": q_create_empty_then_append,
     "refined_end_to_end": q_refined_end_to_end,
     "double_load_loyal": q_double_load_loyal,
+    "csv_typed_contract": q_csv_typed_contract,
+    "typed_source_contract": q_typed_source_contract,
+    "default_stamps": q_default_stamps,
+    "csv_options": q_csv_options,
 }
 
 
@@ -292,6 +383,35 @@ FROM orders
 """
 
 
+def _typed_text(value: str, bad: str, over: str | None = None) -> str:
+    overflow = f" WHEN l_orderkey % 11 = 0 THEN '{over}'" if over else ""
+    return (
+        f"CASE WHEN l_orderkey % 7 = 0 THEN '{bad}'{overflow}"
+        f" WHEN l_orderkey % 5 = 0 THEN ' ' || CAST({value} AS VARCHAR) || ' ' ELSE CAST({value} AS VARCHAR) END"
+    )
+
+
+_DAY = "strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d')"
+_TYPED_SQL = f"""
+SELECT l_orderkey || '-' || l_linenumber AS c_string,
+       TRY_CAST({_typed_text("l_orderkey", "x", "9223372036854775808")} AS BIGINT) AS c_long,
+       TRY_CAST({_typed_text("l_orderkey", "x", "9223372036854775808")} AS BIGINT) AS c_bigint,
+       TRY_CAST({_typed_text("l_partkey", "x", "3000000000")} AS INTEGER) AS c_int,
+       TRY_CAST({_typed_text("l_suppkey", "x", "-3000000000")} AS INTEGER) AS c_integer,
+       TRY_CAST({_typed_text("l_linenumber", "x", "40000")} AS SMALLINT) AS c_short,
+       TRY_CAST({_typed_text("l_linenumber", "x", "300")} AS TINYINT) AS c_byte,
+       CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey % 2 = 0 END AS c_boolean,
+       TRY_CAST({_typed_text("CAST(l_quantity AS INTEGER)", "x")} AS FLOAT) AS c_float,
+       TRY_CAST({_typed_text("CAST(l_extendedprice AS DECIMAL(12,2))", "x")} AS DOUBLE) AS c_double,
+       CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS c_date,
+       CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE {_DAY} || ' 10:20:30' END AS c_timestamp,
+       TRY_CAST({_typed_text("CAST(l_tax AS DECIMAL(12,2))", "x")} AS DECIMAL(38,18)) AS c_decimal,
+       TRY_CAST({_typed_text("CAST(l_discount AS DECIMAL(12,2))", "x")} AS DECIMAL(38,18)) AS c_decimal10,
+       TRY_CAST({_typed_text("CAST(l_extendedprice AS DECIMAL(12,2))", "x", "12345678901.00")} AS DECIMAL(12,2)) AS c_money
+FROM lineitem
+"""
+
+
 def _loyal_sql(customers_sql: str, orders_sql: str, min_orders: int, min_spend: int) -> str:
     return f"""
 WITH c AS ({customers_sql}),
@@ -385,6 +505,20 @@ WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND order_amount IS NOT N
         "create_empty_then_append": f"{_stamped(_CONTRACTED_ORDERS_SQL, LOAD_1)} UNION ALL {_stamped(_CONTRACTED_ORDERS_SQL, LOAD_2)}",
         "refined_end_to_end": _loyal_sql(_CUSTOMERS_SQL, raw_once, *END_TO_END_THRESHOLDS),
         "double_load_loyal": _loyal_sql(_CUSTOMERS_SQL, raw_twice, *DOUBLE_LOAD_THRESHOLDS),
+        "csv_typed_contract": _TYPED_SQL,
+        "typed_source_contract": f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS key, CAST(l_linenumber AS BIGINT) AS line,
+       TRY_CAST(l_orderkey * CASE WHEN l_orderkey % 3 = 0 THEN 1000000000 ELSE 1 END AS INTEGER) AS big,
+       CASE WHEN l_orderkey % 5 = 0 THEN TRY_CAST(l_extendedprice * 1e9 AS INTEGER) ELSE 0 END AS wide,
+       {_DAY} AS day, CAST(l_shipdate AS DATE) AS moment, CAST(NULL AS INTEGER) AS refused
+FROM lineitem
+""",
+        "default_stamps": "SELECT o_orderkey AS order_id, 'scheduled-42' AS run_id, TRUE AS stamped_today FROM orders",
+        "csv_options": """
+SELECT o_orderkey, o_orderpriority || '|' || o_orderstatus AS tag,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS status
+FROM orders
+""",
     }
 
 

@@ -36,10 +36,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 "reach (HDFS, object store); a driver-local folder would not be shared"
             )
         configured = tempfile.mkdtemp(prefix="stratum-checkpoints-")  # local mode only
-    if sc is None:
-        return configured.rstrip("/")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir().rstrip("/")
+        if sc is not None:  # kept for the session's later calls
+            sc.setCheckpointDir(configured)
+            configured = sc.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

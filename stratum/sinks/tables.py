@@ -3,22 +3,31 @@
 The table format is a parameter (default ``delta``). Tests and queries in this
 repo pass ``parquet`` because no Delta jar is installed here.
 
-Overwrite is one ``mode("overwrite").saveAsTable`` (data and schema replaced),
-not drop-then-write: a failed read can no longer lose the old table, and the
-swap is atomic on transactional formats. Spark refuses to overwrite a table
-that the written frame also reads. Appends match columns by name; an extra
-column or an unsafe type change raises.
+Overwrite replaces data and schema, and a write that fails leaves the old table
+as it was. On transactional formats it is one ``mode("overwrite")`` write. For
+the others Spark would drop the old table before it writes, so the new rows go
+into a staged table of the same schema first; only when they are all there is
+the old table dropped and the staged one renamed. A failed write removes its
+staged table. (Between the drop and the rename, two catalog calls, the name is
+absent but the staged table holds everything.) A frame that reads the table it
+overwrites is fine. Appends match columns by name; an extra column or an unsafe
+type change raises.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.names import name_parts, quote
+
 logger = logging.getLogger(__name__)
 
 DEFAULT_FORMAT = "delta"
+# Formats whose overwrite keeps the old version until it commits.
+TRANSACTIONAL_FORMATS = ("delta", "iceberg", "hudi")
 APPEND = "append"
 OVERWRITE = "overwrite"
 
@@ -49,6 +58,21 @@ def create_empty_table(df: DataFrame, name: str, table_format: str = DEFAULT_FOR
     df.limit(0).write.format(table_format).mode(OVERWRITE).saveAsTable(name)
 
 
+def _replace_table(df: DataFrame, name: str, table_format: str) -> None:
+    """Write ``df`` beside ``name`` and swap the two once it is complete."""
+    spark = df.sparkSession
+    *schema, table = name_parts(name)
+    staged = ".".join(quote(p) for p in [*schema, f"{table}__staged_{uuid.uuid4().hex[:12]}"])
+    try:
+        df.write.format(table_format).mode("error").saveAsTable(staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # a rename target is given without its catalog
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {'.'.join(quote(p) for p in [*schema, table][-2:])}")
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -64,12 +88,10 @@ def write_table(
     m = normalise_mode(mode)
     if m == OVERWRITE:
         logger.warning("Overwriting table %s", name)
-        (
-            df.write.format(table_format)
-            .mode(OVERWRITE)
-            .option("overwriteSchema", "true")
-            .saveAsTable(name)
-        )
+        if table_format.strip().lower() in TRANSACTIONAL_FORMATS:
+            df.write.format(table_format).mode(OVERWRITE).option("overwriteSchema", "true").saveAsTable(name)
+        else:
+            _replace_table(df, name, table_format)
         return name
     if not table_exists(df.sparkSession, name):
         logger.info("Creating table %s", name)

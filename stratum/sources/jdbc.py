@@ -87,15 +87,28 @@ def read_jdbc(
     read_options: Mapping[str, Any] | None = None,
     **options: Any,
 ) -> DataFrame:
-    opts = jdbc_options(url, table, predicate, read_options, **options)
-    logger.debug("JDBC option keys: %s", sorted(opts))
-    return spark.read.format("jdbc").options(**opts).load()
+    return _load(spark, jdbc_options(url, table, predicate, read_options, **options))
+
+
+def _switch(value: Any, default: bool, name: str) -> bool:
+    """A boolean setting: a boolean or the text true / false; null means the
+    default, anything else is an error (a typing slip must not turn a check
+    off)."""
+    if value is None:
+        return default
+    if isinstance(value, bool):
+        return value
+    text = str(value).strip().lower()
+    if text not in ("true", "false"):
+        raise ValueError(f"{name} must be true or false, not {value!r}")
+    return text == "true"
 
 
 def source_jdbc_options(source: Mapping[str, Any], **overrides: Any) -> dict[str, Any]:
     """Options for an ``olap`` source spec (connection, object, read_options).
 
-    ``overrides`` replace anything derived from the spec, e.g. ``url`` and
+    Later ones win: the job's defaults (driver, credentials of the spec), the
+    spec's ``read_options``, then ``overrides`` of the caller, e.g. ``url`` and
     ``driver`` for another database, or ``accessToken`` for token auth.
     """
     conn = source["connection"]
@@ -105,24 +118,22 @@ def source_jdbc_options(source: Mapping[str, Any], **overrides: Any) -> dict[str
         conn["host"],
         conn["port"],
         conn["database"],
-        encrypt=bool(conn.get("encrypt", True)),
-        trust_server_certificate=bool(conn.get("trust_server_certificate", False)),
+        encrypt=_switch(conn.get("encrypt"), True, "encrypt"),
+        trust_server_certificate=_switch(conn.get("trust_server_certificate"), False, "trust_server_certificate"),
     )
-    creds: dict[str, Any] = {"driver": SQLSERVER_DRIVER}
+    defaults: dict[str, Any] = {"driver": SQLSERVER_DRIVER}
     if str(auth.get("mode", "")).strip().lower() in PASSWORD_AUTH_MODES:
-        creds["user"] = auth.get("client_id")
-        creds["password"] = auth.get("client_secret")
-    creds.update(overrides)
-    return jdbc_options(
-        creds.pop("url", url),
-        f"{obj['schema']}.{obj['table']}",
-        obj.get("predicate"),
-        source.get("read_options"),
-        **creds,
-    )
+        defaults["user"] = auth.get("client_id")
+        defaults["password"] = auth.get("client_secret")
+    read_options = {k: v for k, v in defaults.items() if v is not None} | normalise_read_options(source.get("read_options"))
+    url = overrides.pop("url", None) or url
+    return jdbc_options(url, f"{obj['schema']}.{obj['table']}", obj.get("predicate"), read_options, **overrides)
 
 
-def read_jdbc_source(spark: SparkSession, source: Mapping[str, Any], **overrides: Any) -> DataFrame:
-    opts = source_jdbc_options(source, **overrides)
+def _load(spark: SparkSession, opts: Mapping[str, Any]) -> DataFrame:
     logger.debug("JDBC option keys: %s", sorted(opts))
     return spark.read.format("jdbc").options(**opts).load()
+
+
+def read_jdbc_source(spark: SparkSession, source: Mapping[str, Any], **overrides: Any) -> DataFrame:
+    return _load(spark, source_jdbc_options(source, **overrides))

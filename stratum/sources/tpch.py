@@ -32,7 +32,6 @@ ZERO_PADDED_KEY_EVERY = 3  # customer_id written as '0' || key
 NAN_PRICE_EVERY = 13  # price NaN (NULL/NaN frame only)
 HOT_CUSTOMER_EVERY = 3  # order moved to the hot customer (skew frame only)
 HOT_CUSTOMER_ID = 1
-LOOKUP_BROADCAST_MAX_ROWS = 10_000  # nation has 25 rows at every scale
 BAD_AMOUNT_TEXT = "n/a"
 BAD_DATE_TEXT = "bad"
 
@@ -49,21 +48,10 @@ def _amount() -> Column:
     return F.col("o_totalprice").cast("decimal(12,2)")
 
 
-def _small_lookup(df: DataFrame, max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when it has at most ``max_rows`` rows.
-
-    The check fetches at most ``max_rows + 1`` one-column rows (no data
-    columns). Beyond the bound the frame is returned unmarked and the planner
-    picks the join (a low-cardinality lookup key would otherwise send every
-    row to a handful of reducers).
-    """
-    return F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed customers: customer_id bigint, customer_code, first_name,
     last_name, country (strings)."""
-    nation = _small_lookup(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         table(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -144,3 +132,42 @@ def orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(NAN_PRICE_EVERY), F.lit(float("nan"))).otherwise(F.col("o_totalprice")).alias("price"),
         F.col("o_orderstatus").alias("order_status"),
     )
+
+
+#: Bad-value rules of the typed landing file, on l_orderkey.
+BAD_TYPED_EVERY = 7
+OVERFLOW_EVERY = 11
+PADDED_EVERY = 5
+
+
+def typed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as text: a column for every declared type name, with bad,
+    overflowing and padded values by key rule."""
+    key = F.col("l_orderkey")
+    bad, over, padded = ((key % n) == 0 for n in (BAD_TYPED_EVERY, OVERFLOW_EVERY, PADDED_EVERY))
+
+    def text(value: Column, bad_text: str, over_text: str | None = None) -> Column:
+        value = value.cast("string")
+        out = F.when(bad, F.lit(bad_text))
+        if over_text is not None:
+            out = out.when(over, F.lit(over_text))
+        return out.when(padded, F.concat(F.lit(" "), value, F.lit(" "))).otherwise(value)
+
+    day = F.col("l_shipdate").cast("date")
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("c_string"),
+        text(key, "x", "9223372036854775808").alias("c_long"),
+        text(key, "x", "9223372036854775808").alias("c_bigint"),
+        text(F.col("l_partkey"), "x", "3000000000").alias("c_int"),
+        text(F.col("l_suppkey"), "x", "-3000000000").alias("c_integer"),
+        text(F.col("l_linenumber"), "x", "40000").alias("c_short"),
+        text(F.col("l_linenumber"), "x", "300").alias("c_byte"),
+        F.when(bad, F.lit("maybe")).when(key % 2 == 0, F.lit("true")).otherwise(F.lit("false")).alias("c_boolean"),
+        text(F.col("l_quantity").cast("int"), "x").alias("c_float"),
+        text(F.col("l_extendedprice").cast("decimal(12,2)"), "x").alias("c_double"),
+        F.when(bad, F.lit("2024-13-01")).otherwise(F.date_format(day, "yyyy-MM-dd")).alias("c_date"),
+        F.when(bad, F.lit("soon")).otherwise(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 10:20:30"))).alias("c_timestamp"),
+        text(F.col("l_tax").cast("decimal(12,2)"), "x").alias("c_decimal"),
+        text(F.col("l_discount").cast("decimal(12,2)"), "x").alias("c_decimal10"),
+        text(F.col("l_extendedprice").cast("decimal(12,2)"), "x", "12345678901.00").alias("c_money"),
+    )

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -83,3 +84,14 @@ def test_run_id_falls_back_to_utc_timestamp():
 
     rid = resolve_run_id(_Session())
     assert re.fullmatch(r"\d{14}", rid)
+
+
+@pytest.mark.parametrize("names", [["Price"], ["PRICE", "id"], ["s.A"], ["s.x", "price"]])
+def test_drop_nulls_resolves_names_as_dropna_does(spark, names):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, double('nan'), named_struct('a', 1.5D, 'x', 'p')), (2, NULL, named_struct('a', NULL, 'x', NULL)),"
+        " (3, 2.0D, named_struct('a', double('nan'), 'x', 'q')), (4, 3.0D, NULL) AS t(id, price, s)"
+    )
+    from stratum.operators.clean import drop_nulls
+
+    assert sorted(r.id for r in drop_nulls(df, names).collect()) == sorted(r.id for r in df.dropna(subset=names).collect())

@@ -48,7 +48,7 @@ def test_only_literal_false_enforces(spark):
 
 def test_missing_required_raises(spark):
     df = spark.createDataFrame([("1",)], "a string")
-    with pytest.raises(ValueError, match="Missing required column in input: b"):
+    with pytest.raises(ValueError, match="requires column 'b'"):
         apply_contract(df, [{"name": "b", "type": "long", "nullable": False}])
 
 

@@ -5,7 +5,8 @@ from decimal import Decimal
 
 import pytest
 
-from stratum.plans.examples import CUSTOMERS_CONTRACT, ORDERS_CONTRACT, csv_spec, loyal_spec, olap_spec
+from olap import olap_spec
+from stratum.plans.examples import CUSTOMERS_CONTRACT, ORDERS_CONTRACT, csv_spec, loyal_spec
 from stratum.plans.raw import ingest_raw
 from stratum.plans.refined import build_loyal_customers
 from stratum.plans.spec import validate_raw_spec
@@ -84,7 +85,7 @@ def test_olap_spec_checks_connection_keys():
 def test_unknown_source_type_raises():
     spec = csv_spec("orders/", "data.csv", ORDERS_CONTRACT, "s", "orders")
     spec["input_entity"]["source"]["type"] = "parquet"
-    with pytest.raises(ValueError, match="Unsupported source type"):
+    with pytest.raises(ValueError, match="csv or olap"):
         validate_raw_spec(spec)
 
 
@@ -173,15 +174,20 @@ def test_spec_file_jobs(spark, scratch_dir, scratch_schema):
     assert [r.customer_id for r in spark.table(out).collect()] == [1]
 
 
-def test_local_spec_file_and_repo_specs(spark):
+def test_spec_files_on_the_driver(spark, tmp_path):
+    import json
+
     from stratum.plans.jobs import load_spec
 
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for name in ("raw_orders_csv.json", "raw_customers_jdbc.json"):
-        spec = load_spec(spark, os.path.join(root, "specs", name))
-        assert validate_raw_spec(spec) in ("csv", "olap")
-    refined = load_spec(spark, os.path.join(root, "specs", "refined_loyal_customers.json"))
-    assert refined["transformation"] == {"loyalty_min_orders": 3, "loyalty_min_total_spend": 200.0}
+    specs = {
+        "orders": csv_spec("orders/", "data.csv", ORDERS_CONTRACT, "raw", "orders"),
+        "customers": olap_spec("h", "db", "dbo", "customers", CUSTOMERS_CONTRACT, "raw", "customers"),
+        "loyal": loyal_spec("raw", "refined"),
+    }
+    for name, spec in specs.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(spec))
+        assert load_spec(spark, str(tmp_path / f"{name}.json")) == spec
+    assert [validate_raw_spec(specs[n]) for n in ("orders", "customers")] == ["csv", "olap"]
 
 
 def test_spec_file_errors(spark, scratch_dir):
@@ -197,6 +203,10 @@ def test_spec_file_errors(spark, scratch_dir):
         f.write("{not json")
     with pytest.raises(json.JSONDecodeError):
         RawIngestJob({}, f"{scratch_dir}/bad.json", spark=spark)
+    with open(f"{local}/worse.json", "w") as f:
+        f.write("{}")
+    with pytest.raises(ValueError, match="exactly one"):  # a folder of several specs
+        RawIngestJob({}, scratch_dir, spark=spark)
 
 
 def test_olap_branch_wiring_without_a_database(spark, scratch_schema, monkeypatch):

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 from decimal import Decimal
 
@@ -102,9 +103,35 @@ def test_hot_keys_and_salt_counts(spark):
 
 
 def test_salting_keeps_results(spark):
-    c = customers(spark, [(1, "C1", None, None, None)] * 7 + [(2, "C2", None, None, None)])
+    c = customers(spark, [(1, "C1", None, None, None)] * 107 + [(2, "C2", None, None, None)])
     o = orders(spark, [("1", 1, d("500.00"), None), ("2", 2, d("500.00"), None)])
     plain = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=10**6).collect())
-    salted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=2).collect())
+    salted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=50).collect())
     unsalted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=None).collect())
-    assert plain == salted == unsalted and len(salted) == 8
+    assert plain == salted == unsalted and len(salted) == 108
+
+
+@pytest.mark.parametrize("value", [0, -1, 1, 49, 2.5, True, "100"])
+def test_hot_key_rows_is_checked(spark, value):
+    c, o = customers(spark, [(1, "C1", None, None, None)]), orders(spark, [("1", 1, d("500.00"), None)])
+    with pytest.raises(ValueError, match="hot_key_rows"):
+        loyal_customers(c, o, min_orders=1, hot_key_rows=value)
+
+
+def test_hot_keys_are_bounded(spark):
+    from stratum.operators.loyalty import hot_keys
+
+    df = spark.createDataFrame([(i % 5,) for i in range(60)] + [(7,)] * 20, "customer_id long")
+    got = {r.customer_id for r in hot_keys(df, "customer_id", 10, max_keys=2).collect()}
+    assert got == {7, 0}  # those with most rows; further keys stay unsplit
+
+
+def test_wide_customers_and_key_case(spark):
+    """Columns beyond the five needed ones are neither hashed nor read, and
+    names resolve without regard to case."""
+    c = customers(spark, [(1, "C1", None, None, None)] * 60).selectExpr(
+        "customer_id AS CUSTOMER_ID", "customer_code", "first_name", "last_name", "country", "map('a', 1) AS extra"
+    )
+    o = orders(spark, [("1", 1, d("500.00"), None)]).withColumnRenamed("customer_id", "Customer_Id")
+    out = loyal_customers(c, o, min_orders=1, hot_key_rows=50)
+    assert out.columns[0] == "customer_id" and out.count() == 60

@@ -115,9 +115,13 @@ def test_hot_customer_rows_are_salted_in_the_join(spark):
     from stratum.operators.loyalty import loyal_customers
     from stratum.sources import tpch
 
-    hot = tpch.customers(spark, SF_ORACLE).withColumn(
-        "customer_id",
-        F.when(F.col("customer_id") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("customer_id")),
+    # straight from the scan: a shuffled nation join would sort, and so compress, the hot rows
+    hot = tpch.table(spark, SF_ORACLE, "customer").select(
+        F.when(F.col("c_custkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("c_custkey")).alias("customer_id"),
+        F.col("c_name").alias("customer_code"),
+        F.col("c_name").alias("first_name"),
+        F.sha2("c_name", 256).alias("last_name"),
+        F.col("c_mktsegment").alias("country"),
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -143,3 +147,28 @@ def test_hot_customer_rows_are_salted_in_the_join(spark):
 
     assert worst(plain_sizes) > 3  # unsalted: the hot key's partition dominates
     assert worst(salted_sizes) < 2.5
+
+
+def test_hot_split_reads_five_customer_columns(spark):
+    """The registered hot-key query splits a key, and the customers scan reads
+    no column that the output does not need."""
+    from pyspark.sql import functions as F
+
+    from stratum.operators.loyalty import hot_keys, loyal_customers
+    from stratum.sources import tpch
+
+    hot = hot_keys(tpch.hot_key_customers(spark, SF_ORACLE), "customer_id", 100).collect()
+    assert [(r.customer_id, r["__n_salts"] > 1) for r in hot] == [(1, True)]
+    wide = tpch.table(spark, SF_ORACLE, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_code"), F.col("c_address").alias("first_name"),
+        F.col("c_phone").alias("last_name"), F.col("c_mktsegment").alias("country"), "c_acctbal", "c_nationkey",
+    ) if {"c_address", "c_phone"} <= set(tpch.table(spark, SF_ORACLE, "customer").columns) else tpch.table(
+        spark, SF_ORACLE, "customer"
+    ).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_code"), F.col("c_name").alias("first_name"),
+        F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("country"), "c_nationkey",
+    )
+    out = loyal_customers(wide, tpch.orders(spark, SF_ORACLE), hot_key_rows=100)
+    schemas = [line for line in out._jdf.queryExecution().toString().splitlines() if "ReadSchema" in line]
+    text = out._jdf.queryExecution().executedPlan().toString() + "\n".join(schemas)
+    assert "c_nationkey" not in text and "c_acctbal" not in text

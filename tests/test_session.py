@@ -46,10 +46,10 @@ def test_existing_checkpoint_dir_is_used_as_is():
     assert sc.set_calls == []
 
 
-def test_configured_but_not_applied_dir_is_applied():
+def test_configured_dir_is_read_not_applied():
     sc = _Context(conf={"spark.checkpoint.dir": "s3a://bucket/ckpt"})
-    assert checkpoint_dir(_Session(sc)) == "file:s3a://bucket/ckpt/uuid"
-    assert sc.set_calls == ["s3a://bucket/ckpt"]
+    assert checkpoint_dir(_Session(sc)) == "s3a://bucket/ckpt"
+    assert sc.set_calls == []  # the caller's session stays as it is
 
 
 def test_unset_dir_gets_a_local_one_only_then():

@@ -51,12 +51,25 @@ def test_overwrite_replaces_data_and_schema(spark, scratch_schema):
     assert [tuple(r) for r in spark.table(t).collect()] == [("only",)]
 
 
-def test_overwrite_refuses_reading_itself(spark, scratch_schema):
+def test_overwrite_may_read_itself(spark, scratch_schema):
     t = name(scratch_schema)
     write_table(spark.range(3), t, "append", "parquet")
-    with pytest.raises(Exception):
-        write_table(spark.table(t).filter("id > 0"), t, "overwrite", "parquet")
-    assert spark.table(t).count() == 3
+    write_table(spark.table(t).filter("id > 0"), t, "overwrite", "parquet")
+    assert sorted(r.id for r in spark.table(t).collect()) == [1, 2]
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, scratch_schema):
+    t = name(scratch_schema)
+    write_table(spark.range(5), t, "append", "parquet")
+    failing = spark.range(4).selectExpr("CAST(raise_error('lost in a task') AS STRING) AS s", "id")
+    with pytest.raises(Exception, match="lost in a task"):
+        write_table(failing, t, "overwrite", "parquet")
+    assert spark.table(t).dtypes == [("id", "bigint")]
+    assert sorted(r.id for r in spark.table(t).collect()) == [0, 1, 2, 3, 4]
+    assert [x.name for x in spark.catalog.listTables(scratch_schema)] == ["t"]
+    write_table(spark.sql("SELECT 'new' AS s"), t, "overwrite", "parquet")
+    assert [tuple(r) for r in spark.table(t).collect()] == [("new",)]
+    assert [x.name for x in spark.catalog.listTables(scratch_schema)] == ["t"]
 
 
 def test_write_survives_a_failed_task(spark, scratch_schema):

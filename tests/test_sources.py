@@ -11,7 +11,8 @@ from stratum.sources.jdbc import (
     source_jdbc_options,
     sqlserver_url,
 )
-from stratum.plans.examples import CUSTOMERS_CONTRACT, olap_spec
+from olap import olap_spec
+from stratum.plans.examples import CUSTOMERS_CONTRACT
 
 
 def test_csv_option_normalising():
@@ -102,6 +103,33 @@ def test_source_jdbc_options_credentials_by_mode():
     assert over["url"] == "jdbc:other" and over["driver"] == "org.Other" and over["accessToken"] == "t"
 
 
+def test_spec_read_options_win_over_defaults_and_the_caller_over_both():
+    src = olap_spec("h", "db", "dbo", "customers", CUSTOMERS_CONTRACT, "raw", "customers")["input_entity"]["source"]
+    src["connection"]["authentication"].update(mode="basic", client_id="app", client_secret="s3cret")
+    src["read_options"] = {"driver": "org.Spec", "user": "reader", "fetchsize": 5}
+    opts = source_jdbc_options(src)
+    assert (opts["driver"], opts["user"], opts["password"], opts["fetchsize"]) == ("org.Spec", "reader", "s3cret", 5)
+    assert source_jdbc_options(src, driver="org.Caller")["driver"] == "org.Caller"
+
+
+@pytest.mark.parametrize(
+    "encrypt, trust, url_part",
+    [
+        (True, False, "encrypt=true;trustServerCertificate=false"),
+        ("false", "TRUE", "encrypt=false;trustServerCertificate=true"),
+        (None, None, "encrypt=true;trustServerCertificate=false"),
+        ("true", "false", "encrypt=true;trustServerCertificate=false"),
+    ],
+)
+def test_certificate_switches_are_strict(encrypt, trust, url_part):
+    src = olap_spec("h", "db", "dbo", "customers", CUSTOMERS_CONTRACT, "raw", "customers")["input_entity"]["source"]
+    src["connection"].update(encrypt=encrypt, trust_server_certificate=trust)
+    assert url_part in source_jdbc_options(src)["url"]
+    src["connection"]["trust_server_certificate"] = "no"
+    with pytest.raises(ValueError, match="trust_server_certificate"):
+        source_jdbc_options(src)
+
+
 def test_jdbc_credentials_never_logged(spark, caplog):
     from stratum.sources.jdbc import read_jdbc
 
@@ -117,9 +145,9 @@ def test_table_name_quotes_parts():
 
 
 def test_read_sources_validation(spark):
-    with pytest.raises(ValueError, match="non-empty"):
+    with pytest.raises(ValueError, match="at least one source"):
         read_sources(spark, [])
-    with pytest.raises(ValueError, match="Unsupported source type"):
+    with pytest.raises(ValueError, match="is none of"):
         read_sources(spark, [{"type": "csv", "schema": "s", "table": "t", "alias": "a"}])
     with pytest.raises(ValueError, match="alias"):
         read_sources(spark, [{"type": "delta_table", "schema": "s", "table": "t"}])
@@ -139,15 +167,3 @@ def test_build_input_path_never_doubles_slashes(base, folder, name):
     assert path.endswith(name.lstrip("/"))
     if folder.startswith(("/", "abfss://")):  # absolute: the base is ignored
         assert path == folder.rstrip("/") + "/" + name.lstrip("/")
-
-
-def test_lookup_broadcast_only_within_bound(spark):
-    from conftest import SF_SMALL
-    from stratum.sources import tpch
-
-    nation = tpch.table(spark, SF_SMALL, "nation")
-    small = tpch._small_lookup(nation, max_rows=25)  # 25 rows: within the bound
-    large = tpch._small_lookup(nation, max_rows=24)  # over the bound: left to the planner
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(small).lower()
-    assert "broadcast" not in plan(large).lower()
