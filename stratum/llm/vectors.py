@@ -4,9 +4,9 @@ Vectors are compared only within a label. Equal vectors are one class from the
 start. Every class's vector is normalised and projected on Gaussian
 directions; a table's key is made of ``hashes`` values floor((a.v + b) /
 ``width``), and ``tables`` keys are used. Two unit vectors of cosine 0.93 lie
-0.374 apart and share one value with probability 0.85, so with 14 values and 48
-tables a pair at the threshold is missed with probability 0.005 (a closer one
-less); vectors at right angles meet in a table with probability 4e-5.
+0.374 apart and share one value with probability 0.85, so with 16 values and 72
+tables a pair at the threshold is missed with probability 0.004 (a closer one
+less); vectors at right angles meet in a table with probability 1e-5.
 
 Classes that share a key meet in blocks: a bucket of n classes is cut into
 ceil(n / ``block``) parts and every pair of parts is one small matrix product
@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from stratum.llm.common import stored
 from stratum.llm.components import connected
 
-TABLES, HASHES, WIDTH = 48, 14, 2.0
+TABLES, HASHES, WIDTH = 72, 16, 2.0
+#: Buckets of up to so many classes are compared many at a time.
+SMALL = 16
 
 
 def _keys(vectors, tables: int, hashes: int, width: float, seed: int = 1):
@@ -55,7 +57,7 @@ def _keys(vectors, tables: int, hashes: int, width: float, seed: int = 1):
 def _unit(values):
     import numpy as np
 
-    matrix = np.array(values, np.float64)
+    matrix = np.asarray(values, np.float64)
     # scaled first, so that no square overflows or vanishes
     matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -77,36 +79,24 @@ def _key_batches(batches, *, tables: int, hashes: int, width: float):
             yield pa.RecordBatch.from_arrays([part.column("class"), lists], names=["class", "keys"])
 
 
-def _block(frame, *, threshold: float):
-    """One pair of parts of one bucket: links and connections of its classes."""
+def _block(a, b, ka, kb, ca, cb, ma, mb, table: int, same: bool, threshold: float):
+    """One pair of parts of one bucket: (class, links, low) of its classes."""
     import numpy as np
-    import pandas as pd
-
-    left = frame[frame["side"] != 1].reset_index(drop=True)
-    right = frame[frame["side"] != 0].reset_index(drop=True)
-    same = bool((frame["side"] == 2).all())
-    table = int(frame["t"].iloc[0])
-    a, b = _unit(left["vector"].tolist()), _unit(right["vector"].tolist())
-    ka, kb = np.array(left["keys"].tolist()), np.array(right["keys"].tolist())
-    ca, cb = left["class"].to_numpy(), right["class"].to_numpy()
-    ma, mb = left["members"].to_numpy(), right["members"].to_numpy()
+
     links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     near = np.zeros((len(a), len(b)), bool)
     for i in range(0, len(a), 512):
-        cosine = a[i : i + 512] @ b.T
-        hit = cosine >= threshold
+        hit = a[i : i + 512] @ b.T >= threshold
         if same:
             hit &= ca[i : i + 512, None] != cb[None, :]
         near[i : i + 512] = hit
         rows, cols = np.nonzero(hit)
-        for j in range(0, len(rows), 1 << 18):
-            r, c = rows[j : j + (1 << 18)], cols[j : j + (1 << 18)]
-            first = np.ones(len(r), bool)
-            for earlier in range(table):
-                first &= ka[r + i, earlier] != kb[c, earlier]
-            links_a += np.bincount((r + i)[first], mb[c[first]], len(a)).astype(np.int64)
+        for j in range(0, len(rows), 1 << 16):
+            r, c = rows[j : j + (1 << 16)] + i, cols[j : j + (1 << 16)]
+            first = ~(ka[r, :table] == kb[c, :table]).any(axis=1)
+            links_a += np.bincount(r[first], mb[c[first]], len(a)).astype(np.int64)
             if not same:
-                links_b += np.bincount(c[first], ma[(r + i)[first]], len(b)).astype(np.int64)
+                links_b += np.bincount(c[first], ma[r[first]], len(b)).astype(np.int64)
     # components inside the block: the smallest class travels along the links
     low_a, low_b = ca.copy(), cb.copy()
     top = np.iinfo(np.int64).max
@@ -118,11 +108,87 @@ def _block(frame, *, threshold: float):
         if (new_a == low_a).all() and (new_b == low_b).all():
             break
         low_a, low_b = new_a, new_b
-    out = [pd.DataFrame({"class": ca, "links": links_a, "low": low_a})]
+    yield ca, links_a, low_a
     if not same:
-        out.append(pd.DataFrame({"class": cb, "links": links_b, "low": low_b}))
-    both = pd.concat(out)
-    return both[(both["links"] > 0) | (both["low"] != both["class"])]
+        yield cb, links_b, low_b
+
+
+def _buckets(rows: dict, threshold: float):
+    """(class, links, low) of whole buckets of vectors of one length. Small
+    ones, by far the most, are compared together: row i with row i + d."""
+    import numpy as np
+
+    n = len(rows["class"])
+    new = np.zeros(n, bool)
+    new[0] = True
+    for name in ("place", "t", "key", "i", "j"):
+        new[1:] |= rows[name][1:] != rows[name][:-1]
+    start = np.flatnonzero(new)
+    size = np.diff(np.r_[start, n])
+    group = np.cumsum(new) - 1
+    small = (size <= SMALL) & (rows["i"][start] == rows["j"][start])
+    unit = _unit(rows["vector"])
+    keys, members, names = rows["keys"], rows["members"], rows["class"]
+    left = np.where(small[group], (start + size)[group] - 1 - np.arange(n), 0)  # rows that follow in the bucket
+    for d in range(1, SMALL):
+        x = np.flatnonzero(left >= d)
+        if not len(x):
+            break
+        y = x + d
+        hit = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
+        x, y = x[hit], y[hit]
+        met = (keys[x] == keys[y]) & (np.arange(keys.shape[1])[None, :] < rows["t"][x][:, None])
+        first = ~met.any(axis=1)
+        low = np.minimum(names[x], names[y])
+        yield names[x], np.where(first, members[y], 0), low
+        yield names[y], np.where(first, members[x], 0), low
+    for g in np.flatnonzero(~small):
+        own = slice(start[g], start[g] + size[g])
+        side = rows["side"][own]
+        parts = [np.flatnonzero(side != 1) + start[g], np.flatnonzero(side != 0) + start[g]]
+        same = bool((side == 2).all())
+        pairs = ((v[parts[0]], v[parts[1]]) for v in (unit, keys, names, members))
+        yield from _block(*(v for pair in pairs for v in pair), int(rows["t"][start[g]]), same, threshold)
+
+
+NUMBERS = ("place", "dim", "t", "key", "i", "j", "side", "class", "members")
+
+
+def _bucket_batches(batches, *, threshold: float):
+    """Rows sorted by bucket; a bucket that a batch leaves open waits for the next."""
+    import numpy as np
+    import pyarrow as pa
+
+    def found(table):
+        numbers = {name: table.column(name).to_numpy().astype(np.int64) for name in NUMBERS}
+        for dim in np.unique(numbers["dim"]):
+            own = np.flatnonzero(numbers["dim"] == dim)
+            part = table.take(pa.array(own)).combine_chunks()
+            rows = {name: v[own] for name, v in numbers.items()}
+            for name in ("vector", "keys"):
+                rows[name] = part.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1)
+            for names, links, low in _buckets(rows, threshold):
+                some = (links > 0) | (low != names)
+                if some.any():
+                    columns = [pa.array(v[some].astype(np.int64)) for v in (names, links, low)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["class", "links", "low"])
+
+    waiting = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if waiting is None else pa.concat_tables([waiting, table])
+        last = np.ones(table.num_rows, bool)
+        for name in ("place", "t", "key", "i", "j"):
+            values = table.column(name).to_numpy()
+            last &= values == values[-1]
+        whole = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        if whole:
+            yield from found(table.slice(0, whole))
+        waiting = table.slice(whole)
+    if waiting is not None:
+        yield from found(waiting)
 
 
 def near_vectors(
@@ -172,11 +238,16 @@ def near_vectors(
     )
     met = met.withColumn("pair", F.explode(others)).select(*bucket, "class", "pair.i", "pair.j", "pair.side")
     data = classes.select("class", "vector", "members").join(keys, "class")
-    blocks = met.join(data, "class").groupBy(*bucket, "i", "j")
-    found = stored(
-        blocks.applyInPandas(lambda frame: _block(frame, threshold=threshold), "class bigint, links bigint, low bigint"),
-        "vector-links",
+    order = ["place", "t", "key", "i", "j"]
+    blocks = (
+        met.withColumn("place", F.xxhash64("label", "dim"))
+        .join(data, "class")
+        .select(*NUMBERS, "vector", "keys")
+        .repartition(*order)
+        .sortWithinPartitions(*order)
     )
+    compare = partial(_bucket_batches, threshold=threshold)
+    found = stored(blocks.mapInArrow(compare, "class bigint, links bigint, low bigint"), "vector-links")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     edges = found.where("low != class").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct()
     roots = connected(edges)
