@@ -56,3 +56,15 @@ def text_slices(column, max_bytes: int = 8 << 20):
         size += n
     if lengths:
         yield start, len(lengths)
+
+
+def worker_cache(name: str, make):
+    """An object that a Python worker keeps between its tasks, made on first
+    use; the caller bounds its size. A new worker simply starts anew."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_kept_between_tasks", types.ModuleType("_kept_between_tasks"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)

@@ -41,7 +41,10 @@ def library_classes() -> tuple[dict[str, str], str]:
         found = probe.decode(probe.encode_ordinary(every))
         sets[name] = _ranges([ord(c) for c in found])
         odd |= set(found) ^ set(regex.findall(name, every))
-    return sets, _ranges(sorted(map(ord, odd)))
+    points = sorted(map(ord, odd))
+    if points and points[0] < 0x100:
+        raise ValueError("the regex module and the tokenizer library class Latin letters differently")
+    return sets, _ranges(points)
 
 
 def splitter_spec(pattern: str) -> tuple[str, str, str]:
@@ -76,6 +79,9 @@ class WordSplitter:
         self.exact = regex.compile(exact).findall
 
     def __call__(self, text: str) -> list[str]:
-        if text.isascii() or self.odd is None or not self.odd(text):
-            return self.plain(text)
-        return self.exact(text)
+        try:
+            text.encode("latin-1")  # much faster than a search; no odd ones among these
+        except UnicodeEncodeError:
+            if self.odd is not None and self.odd(text):
+                return self.exact(text)
+        return self.plain(text)
