@@ -16,6 +16,7 @@ through, but an input column named like the output is replaced.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from functools import partial
@@ -24,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm.common import append_column, text_slices, with_field
+from stratum.llm.common import append_column, text_slices, with_field, worker_cache
 from stratum.llm.words import WordSplitter, splitter_spec
 
 #: Entries of the broadcast table.
 FREQUENT = 20_000
 #: Entries of a worker's cache before it is emptied.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 
 def frequent_words(docs: DataFrame, text: str = "text", n: int = FREQUENT) -> list[str]:
@@ -110,7 +111,9 @@ class PieceCounter:
 def _count_batches(batches, *, shared, text: str, out: str, limit: int):
     import pyarrow as pa
 
-    count = PieceCounter(*shared.value, limit)
+    spec, splitter, frequent = shared.value
+    name = hashlib.sha256(repr((spec, sorted(frequent.items()), limit)).encode()).hexdigest()
+    count = worker_cache(f"pieces-{name}", lambda: PieceCounter(spec, splitter, frequent, limit))
     for batch in batches:
         column = batch.column(text)
         for start, stop in text_slices(column):
