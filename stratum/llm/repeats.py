@@ -23,6 +23,9 @@ In a round, strings that can be equal share a *core* (what all strings of a
 stretch have in common); only stretches whose core occurs in different
 stretches go on, one text place for each different stretch.
 
+Which texts move is not bounded by anything but the input, so these joins are
+told to shuffle at every size instead of broadcasting where a table is small.
+
 Equal texts take part once; a text of ``length`` bytes or more that occurs
 twice goes as a whole. The scan of the texts runs once, then only texts with a
 repeated anchor move.
@@ -120,7 +123,10 @@ def _emit(part, starts, owner, a, lo, hi, rolling, length, core):
 
 
 def _anchor_batches(batches, *, length: int):
-    """One stretch for each anchor; its core is what stands behind the anchor."""
+    """One stretch for each anchor whose 128 bytes occur again (``names``
+    holds their names); its core is what stands behind the anchor."""
+    import numpy as np
+
     roll = Roller()
     for batch in batches:
         for start, stop in text_slices(batch.column("text"), SLICE):
@@ -130,6 +136,8 @@ def _anchor_batches(batches, *, length: int):
             if len(a):
                 half = BEHIND // 2
                 core = fold([rolling.ranges(a, a + half), rolling.ranges(a + half, a + BEHIND)])
+                again = np.isin(core.view(np.int64), part.column("names").flatten().to_numpy(zero_copy_only=False))
+                owner, a, lo, hi, core = (v[again] for v in (owner, a, lo, hi, core))
                 yield _emit(part, starts, owner, a, lo, hi, rolling, length, core)
 
 
@@ -197,15 +205,17 @@ def _cut_batches(batches):
 def _round(rows: DataFrame, length: int, last: bool):
     """(covered, open) of one round: the stretches that repeat as a whole, and
     one place of each different stretch whose core occurs in another one."""
-    place = F.struct("key", "a", "lo", "hi")
-    names = rows.groupBy("core", "full").agg(F.min(place).alias("one"), F.max(place).alias("other"))
-    names = stored(names, "repeats-names")
-    repeated = names.where("one != other").select("core", "full")
-    covered = rows.join(repeated, ["core", "full"], "left_semi").select("key", "lo", (F.col("hi") + length).alias("end"))
-    if last:
-        return covered, None
-    several = stored(names.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "repeats-cores")
-    return covered, names.join(several, "core", "left_semi").select("one.*").distinct()
+    rows = rows.withColumn("place", F.xxhash64("key", "a"))
+    names = stored(
+        rows.groupBy("core", "full").agg(F.min("place").alias("one"), F.max("place").alias("other")), "repeats-names"
+    )
+    several = names.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core", F.lit(True).alias("several"))
+    several = stored(several, "repeats-cores")
+    marked = names.join(several.hint("merge"), "core", "left").where("one != other OR several")
+    found = rows.join(stored(marked, "repeats-marked").hint("merge"), ["core", "full"])
+    found = stored(found.select("key", "a", "lo", "hi", "place", "one", "other", "several"), "repeats-found")
+    covered = found.where("one != other").select("key", "lo", (F.col("hi") + length).alias("end"))
+    return covered, None if last else found.where("several AND place = one").select("key", "a", "lo", "hi")
 
 
 def repeated_texts(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 400):
@@ -224,21 +234,21 @@ def repeated_texts(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     first = stored(long.select("key", "text").mapInArrow(partial(_first_batches, length=length), "key bigint, name bigint"), "repeats-first")
     # written first: a join of two shuffles is split by Spark where a name is very frequent
     twice = stored(first.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "repeats-twice")
-    touched = first.join(twice, "name", "left_semi").select("key").distinct()
-    chosen = stored(texts.join(touched, "key").select("id", "key"), "repeats-chosen")
-    moved = stored(long.join(chosen, ["id", "key"]).select("key", "text"), "repeats-texts")
+    touched = first.join(twice.hint("merge"), "name", "left_semi").groupBy("key").agg(F.collect_set("name").alias("names"))
+    chosen = stored(texts.select("id", "key").join(touched.hint("merge"), "key"), "repeats-chosen")
+    moved = stored(long.join(chosen.hint("merge"), ["id", "key"]).select("key", "text", "names"), "repeats-texts")
     stretches = stored(moved.mapInArrow(partial(_anchor_batches, length=length), STRETCH), "repeats-anchors")
     covered, open_ = _round(stretches, length, False)
     parts = [covered]
     for group in (GROUP, 1):
         places = open_.groupBy("key").agg(F.collect_list(F.struct("a", "lo", "hi")).alias("open"))
         split = partial(_split_batches, length=length, group=group)
-        stretches = stored(moved.join(places, "key").mapInArrow(split, STRETCH), f"repeats-groups-{group}")
+        stretches = stored(moved.select("key", "text").join(places.hint("merge"), "key").mapInArrow(split, STRETCH), f"repeats-groups-{group}")
         covered, open_ = _round(stretches, length, group == 1)
         parts.append(covered)
     covered = parts[0].unionByName(parts[1]).unionByName(parts[2])
     ranges = covered.groupBy("key").agg(F.collect_list(F.struct("lo", "end")).alias("covered"))
-    cut = moved.join(ranges, "key").mapInArrow(_cut_batches, "key bigint, n_removed bigint, n_spans bigint, kept binary, rest string")
+    cut = moved.select("key", "text").join(ranges.hint("merge"), "key").mapInArrow(_cut_batches, "key bigint, n_removed bigint, n_spans bigint, kept binary, rest string")
     known = texts.select("key", "copies").join(cut.dropDuplicates(["key"]), "key", "left")
     return rows, stored(known, "repeats-cut")
 
