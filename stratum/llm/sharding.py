@@ -1,9 +1,10 @@
 """Sharding by vector bin packing over bytes, tokens and rows.
 
-Equal texts form a group that stays together where it can. A group holding
-more than 1 / ``fine`` of a shard's share of bytes, tokens or rows is packed
-as an item of its own (in pieces of about that size if it is larger: one group
-may hold a third of all rows); the many small groups are first poured by hash
+Equal texts form a group that stays together, unless it holds more than half of
+a shard's share of bytes, tokens or rows (one group may hold a third of all
+rows): then it is split into pieces of at most about a quarter. A group of more
+than 1 / ``fine`` of a shard's share is packed as an item of its own; the many
+small groups are first poured by hash
 into ``fine`` bundles per shard. So at most a few times ``fine * shards``
 items exist however large the input is, and only they are packed on the
 driver: in descending order of size, each item goes to the shard where the dot
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import stored
 
+#: A group of up to this part of a shard is never split.
+WHOLE = 0.5
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
 
@@ -75,11 +78,12 @@ def shard(
         "shard-rows",
     )
     total = rows.agg(F.sum("size").alias("s"), F.sum("tokens").alias("t"), F.count("*").alias("n")).first()
-    limits = [max(1.0, (total[c] or 0) / (shards * fine)) for c in ("s", "t", "n")]
     groups = rows.groupBy("group").agg(F.sum("size").alias("s"), F.sum("tokens").alias("t"), F.count("*").alias("n"))
-    parts = F.ceil(F.greatest(*(F.col(c) / F.lit(limit) for c, limit in zip(("s", "t", "n"), limits))))
+    # what a group takes of one shard's share, in the resource where that is most
+    part = F.greatest(*(F.col(c) / F.lit(max(1, total[c] or 0) / shards) for c in ("s", "t", "n")))
     # at most 3 * shards * fine groups are large: each holds that part of one resource
-    large = groups.select("group", parts.cast("int").alias("parts")).where("parts > 1")
+    large = groups.withColumn("part", part).where(F.col("part") > 1 / fine)
+    large = large.select("group", F.when(F.col("part") <= WHOLE, 1).otherwise(F.ceil(2 / WHOLE * F.col("part"))).cast("int").alias("parts"))
     rows = rows.join(F.broadcast(large), "group", "left")
     bundle = F.pmod("group", F.lit(shards * fine))
     piece = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("id"), F.col("parts")) + 1).otherwise(0)

@@ -1,0 +1,105 @@
+"""Sharding and mixing."""
+
+import collections
+
+import pytest
+from brute import WORD
+from conftest import SF_ORACLE, SF_SMALL
+from pyspark.sql import functions as F
+
+from stratum.llm import mixing, queries, sharding
+
+
+def check_shards(rows, shards, slack):
+    size, slots = collections.Counter(), collections.defaultdict(list)
+    for r in rows:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    mean = sum(size.values()) / shards
+    assert max(size.values()) - min(size.get(s, 0) for s in range(shards)) <= slack * mean
+
+
+def test_query_op2(spark):
+    rows = queries.op2_vector_packing(spark, SF_ORACLE).collect()
+    check_shards(rows, 40, 0.06)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").collect()}
+    by_text, totals = collections.defaultdict(list), [sum(v) / 40 for v in zip(*((r.size, r.tokens, 1) for r in rows))]
+    for r in rows:
+        assert r.size == len(texts[r.doc_id].encode()) + 16
+        by_text[texts[r.doc_id]].append(r)
+    for group in by_text.values():  # equal texts stay together, up to half a shard of them
+        part = max(sum(v) / t for v, t in zip(zip(*((r.size, r.tokens, 1) for r in group)), totals))
+        assert len({r.shard for r in group}) == 1 or part > 0.5
+    again = queries.op2_vector_packing(spark, SF_ORACLE).collect()
+    assert sorted((r.doc_id, r.shard, r.slot) for r in rows) == sorted((r.doc_id, r.shard, r.slot) for r in again)
+
+
+def test_hot_group_is_split_and_odd_rows(spark):
+    rows = [(i, "the same text " * 5) for i in range(3000)] + [(10000 + i, f"own text {i} " * (1 + i % 9)) for i in range(6000)]
+    rows += [(-1, None), (-2, None), (-3, ""), (-3, ""), (-4, "long " * 5000)]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string"), 8, bucket_rows=500).collect()
+    assert len(out) == len(rows)
+    check_shards(out, 8, 0.05)
+    assert {r.size for r in out if r.doc_id in (-1, -2)} == {16}
+    assert len({(r.shard, r.slot) for r in out}) == len(rows)
+    assert sharding.shard(spark.createDataFrame([], "doc_id bigint, text string"), 8).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_match_sql(spark, name):
+    import os
+    import sys
+
+    from conftest import ROOT
+
+    sys.path.insert(0, os.path.join(ROOT, "tools"))
+    import oracle_check
+
+    con = oracle_check.duckdb_connection(SF_SMALL).execute(queries.ORACLES[name])
+    want = oracle_check.normalise([c[0] for c in con.description], con.fetchall())
+    df = queries.QUERIES[name](spark, SF_SMALL)
+    got = oracle_check.normalise(df.columns, [tuple(r) for r in df.collect()])
+    assert got == want
+
+
+def test_targets_are_shared_again():
+    sizes, weights = [100, 10, 1000], [5, 2, 1]
+    got = mixing.share_out(sizes, weights, sum(sizes), 3)
+    assert got[:2] == [300.0, 30.0] and abs(sum(got) - 1110) < 1e-9
+    assert mixing.share_out([10, 10], [1, 0], 20, 3) == [20.0, 0.0]
+    assert mixing.share_out([], [], 0, 3) == []
+    assert mixing.share_out([0, 0], [1, 2], 0, 3) == [0.0, 0.0]
+
+
+def test_mix_words_positions_and_odd_rows(spark):
+    rows = [(i, "w " * (1 + i % 7), f"s{i % 4}") for i in range(400)] + [(1000, "one big " * 300, "tiny"), (1001, None, None), (1002, "x y", None)]
+    rows += [(5, "w w", "s1"), (5, "w w", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("size", F.lit("clash"))
+    out = mixing.allot(docs, mixing.curriculum, bucket_rows=16).collect()
+    assert len(out) == len(rows)
+    by = collections.defaultdict(list)
+    for r in out:
+        by[r.source].append(r)
+        assert sum(p["taken"] for p in r.passes) <= 3 * r["size"]
+        assert all(0 <= p["position"] <= 1 for p in r.passes)
+    total = sum(len(WORD.findall(t or "")) for _, t, _ in rows)
+    assert abs(sum(v[0].target for v in by.values()) - total) < 1e-6
+    for v in by.values():
+        assert sum(p["taken"] for r in v for p in r.passes) == int(v[0].target)
+    mixed = mixing.mixed(docs, mixing.curriculum, bucket_rows=16)
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    none = spark.createDataFrame([], "doc_id bigint, text string, source string")
+    assert mixing.allot(none, mixing.curriculum).count() == 0 and mixing.mixed(none, mixing.curriculum).count() == 0
+
+
+@pytest.mark.parametrize("schedule", [[(0, 1.0), (1, 1.0)], [(0, 0.0), (1, 2.0)], [(0, 3.0), (0.25, 1.0), (1, 0.0)]])
+def test_inverse_demand_inverts_the_integral(spark, schedule):
+    qs = [i / 50 for i in range(51)]
+    got = spark.createDataFrame([(q,) for q in qs], "q double").select("q", mixing.inverse_demand(schedule, F.col("q")).alias("t")).collect()
+    for r in got:
+        area = 0.0
+        for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]):
+            x = min(max(r.t - t0, 0.0), t1 - t0)
+            area += w0 * x + (w1 - w0) / (t1 - t0) * x * x / 2
+        assert abs(area / mixing.integral(schedule) - r.q) < 1e-9
