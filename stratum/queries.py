@@ -22,7 +22,7 @@ from .operators.loyalty import loyal_customers
 from .plans.examples import CUSTOMERS_CONTRACT, ORDERS_CONTRACT, csv_spec, loyal_spec
 from .plans.raw import ingest_raw, read_raw_source
 from .plans.refined import build_loyal_customers
-from .session import scratch_path, scratch_schema
+from .session import drop_scratch, scratch_path, scratch_schema
 from .sinks.tables import create_empty_table, table_exists, write_table
 from .sources import tpch
 from .sources.catalog import table_name
@@ -154,6 +154,7 @@ def q_raw_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = scratch_schema(spark, "raw")
     name = _ingest_orders(spark, config, file_name, schema, "append", LOAD_1)
     _ingest_orders(spark, config, file_name, schema, "append", LOAD_2)
+    drop_scratch(spark, config["landing"])  # the raw table holds it all now
     return spark.table(name)
 
 
@@ -163,6 +164,7 @@ def q_raw_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = scratch_schema(spark, "raw")
     name = _ingest_orders(spark, config, file_name, schema, "append", LOAD_1)
     _ingest_orders(spark, config, file_name, schema, " Overwrite ", LOAD_2)
+    drop_scratch(spark, config["landing"])
     return spark.table(name)
 
 
@@ -177,6 +179,7 @@ def q_create_empty_then_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         create_empty_table(add_load_columns(contracted, *LOAD_1), name, TABLE_FORMAT)
     for load in (LOAD_1, LOAD_2):
         write_table(add_load_columns(contracted, *load), name, "append", TABLE_FORMAT)
+    drop_scratch(spark, config["landing"])
     return spark.table(name)
 
 
@@ -188,6 +191,8 @@ def _loyal_from_raw(spark: SparkSession, sf_dir: str, loads: int, thresholds) ->
     for load in (LOAD_1, LOAD_2)[:loads]:
         _ingest_orders(spark, orders_cfg, orders_file, raw, "append", load)
     _ingest_customers(spark, cust_cfg, cust_file, raw)
+    for config in (orders_cfg, cust_cfg):
+        drop_scratch(spark, config["landing"])
     n, spend = thresholds
     spec = loyal_spec(raw, refined, min_orders=n, min_total_spend=spend)
     return spark.table(build_loyal_customers(spark, spec, table_format=TABLE_FORMAT))

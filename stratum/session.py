@@ -54,3 +54,12 @@ def scratch_schema(spark: SparkSession, label: str) -> tuple[str, str]:
     location = scratch_path(spark, f"schema-{name}")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.`{name}` LOCATION '{location}'")
     return name, location
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`scratch_path` that nothing reads any
+    more; any other path is an error."""
+    if not path.startswith(f"{checkpoint_dir(spark)}/stratum/"):
+        raise ValueError(f"not a scratch folder of this session: {path}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -75,3 +75,17 @@ def test_scratch_paths_are_unique_and_below_checkpoint_dir(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     base = spark.sparkContext.getCheckpointDir().rstrip("/")
     assert a != b and a.startswith(base + "/stratum/x-")
+
+
+def test_drop_scratch_takes_only_its_own_folders(spark):
+    import pytest
+
+    from stratum.session import drop_scratch
+
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/tmp/elsewhere")
