@@ -10,12 +10,13 @@ costs a few arrivals a shingle (Ertl's ProbMinHash3, all shingles of many texts
 at a time).
 
 ``bands`` bands of ``rows`` components make buckets: with 20 bands of 4 a pair
-at 0.8 is missed with probability 3e-5. Pairs that share a bucket are verified
-by exact J_P of their whole texts. Buckets never write out all pairs: first
-each text meets the smallest id of its buckets; after that only texts that are
-still in different components meet, against 4, 16, 64 ... more texts of their
-bucket, until no pair of different components is untested. So no link that
-joins two classes is lost, and a large group costs one pair a text and band.
+at 0.8 is missed with probability 3e-5. Texts connected by shared buckets are a
+family. Within a family all texts are compared exactly, by blocks: matrix
+products of their shingles inside a task, which returns only the links that
+connect them. Pairs are never written out. A family of more than ``block``
+texts is first compared with its smallest id; what is near that is one class,
+and parts of this class need no comparison with each other. The other pairs of
+parts are blocks of their own, so no task holds more than two parts.
 
 Equal texts are one text from the start.
 
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm.common import stored, text_slices
@@ -159,6 +160,110 @@ def _verify_batches(batches, *, words: int, threshold: float):
             )
 
 
+def _family_links(owner, shingle, weight, rows: slice, side, ids, threshold: float):
+    """(a, b) pairs that connect what is connected by similarity in one group
+    of texts: all its pairs are compared (those of side 0 with side 1 if the
+    group has two sides), a spanning set of the near ones is given."""
+    import numpy as np
+
+    start, stop = np.searchsorted(owner, [rows.start, rows.stop])
+    text, names, counts = owner[start:stop] - rows.start, shingle[start:stop], weight[start:stop]
+    n = rows.stop - rows.start
+    size = np.bincount(text, minlength=n)
+    total = np.bincount(text, weights=counts, minlength=n)
+    plain = total == size
+    _, column, often = np.unique(names, return_inverse=True, return_counts=True)
+    shared = often[column] > 1  # the others are in no intersection
+    _, column = np.unique(column[shared], return_inverse=True)
+    has = np.zeros((n, int(column.max()) + 1 if len(column) else 1), np.float32)
+    has[text[shared], column] = 1
+    left, right = (np.flatnonzero(side != 1), np.flatnonzero(side != 0)) if (side != 2).any() else (np.arange(n), np.arange(n))
+    ends = np.searchsorted(text, np.arange(n + 1))
+    root = np.arange(n)
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for at in range(0, len(left), 256):
+        x = left[at : at + 256]
+        common = has[x] @ has[right].T
+        union = size[x][:, None] + size[right][None, :] - common
+        both_plain = plain[x][:, None] & plain[right][None, :]
+        # J_P is at most the part of either text that lies in common shingles
+        odd_x, odd_r = np.flatnonzero(~plain[x]), np.flatnonzero(~plain[right])
+        near = both_plain & (common >= (threshold - 1e-12) * union)
+        maybe = np.zeros_like(near)
+        if len(odd_x) or len(odd_r):
+            mass = np.zeros_like(has)
+            mass[text[shared], column] = counts[shared]
+            in_x = (mass[x] @ has[right].T) / np.maximum(total[x], 1)[:, None]
+            in_r = (has[x] @ mass[right].T) / np.maximum(total[right], 1)[None, :]
+            maybe = ~both_plain & (in_x >= threshold - 1e-6) & (in_r >= threshold - 1e-6)
+        for i, j in zip(*np.nonzero((near | maybe) & (x[:, None] != right[None, :]))):
+            a, b = x[i], right[j]
+            u, v = find(a), find(b)
+            if u == v:
+                continue
+            if maybe[i, j]:
+                p, q = slice(ends[a], ends[a + 1]), slice(ends[b], ends[b + 1])
+                if similarity(names[p], counts[p], names[q], counts[q]) < threshold - 1e-12:
+                    continue
+            root[max(u, v)] = min(u, v)
+            yield ids[a], ids[b]
+
+
+def _family_batches(batches, *, words: int, threshold: float):
+    """Rows sorted by (family, i, j); a group that a batch leaves open waits."""
+    import numpy as np
+    import pyarrow as pa
+
+    roll = Roller()
+
+    def found(table):
+        values = [table.column(n).to_numpy() for n in ("family", "i", "j")]
+        new = np.r_[True, np.any([v[1:] != v[:-1] for v in values], axis=0)]
+        starts = np.flatnonzero(new)
+        stops = np.r_[starts[1:], table.num_rows]
+        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        at = 0
+        while at < len(starts):  # some groups at a time, about SLICE bytes
+            last = at
+            size = 0
+            while last < len(starts) and (last == at or size < SLICE):
+                part = table.column("text").slice(starts[last], stops[last] - starts[last])
+                size += sum(chunk.nbytes for chunk in part.chunks)
+                last += 1
+            lo, hi = starts[at], stops[last - 1]
+            column = table.column("text").slice(lo, hi - lo).combine_chunks()
+            owner, shingle, weight = weighted_shingles(column, roll, words)
+            links = []
+            for g in range(at, last):
+                own = slice(starts[g], stops[g])
+                rows = slice(starts[g] - lo, stops[g] - lo)
+                links += _family_links(owner, shingle, weight, rows, side[own], ids[own], threshold)
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            at = last
+
+    waiting = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if waiting is None else pa.concat_tables([waiting, table])
+        same = np.all([table.column(n).to_numpy() == table.column(n)[-1].as_py() for n in ("family", "i", "j")], axis=0)
+        whole = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if whole:
+            yield from found(table.slice(0, whole))
+        waiting = table.slice(whole)
+    if waiting is not None:
+        yield from found(waiting)
+
+
 def near_classes(
     docs: DataFrame,
     id: str = "doc_id",
@@ -167,6 +272,7 @@ def near_classes(
     threshold: float = THRESHOLD,
     bands: int = BANDS,
     rows: int = ROWS,
+    block: int = 1000,
 ) -> DataFrame:
     """One row for each row of ``docs``: the id, class_id and kept."""
     base = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
@@ -174,58 +280,49 @@ def near_classes(
     sign = partial(_sign_batches, words=words, bands=bands, rows=rows)
     signed = stored(texts.mapInArrow(sign, "id bigint, key bigint, bands array<bigint>"), "near-signed")
     first = stored(signed.groupBy("key").agg(F.min("id").alias("id")), "near-first")
-    spots = signed.join(first, ["key", "id"], "left_semi").select("id", "key", F.explode("bands").alias("bucket")).distinct()
+    spots = signed.join(first.hint("merge"), ["key", "id"], "left_semi").select("id", F.explode("bands").alias("bucket"))
     spots = stored(spots, "near-spots")
-    shared = stored(spots.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"), "near-buckets")
-    members = stored(spots.join(shared, "bucket").select("bucket", "id", "key", "lead"), "near-members")
-    chosen = stored(members.select("id", "key").distinct(), "near-chosen")
-    whole = stored(texts.join(chosen, ["id", "key"]).select("id", "text"), "near-texts")
-
-    def verified(pairs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-        pairs = stored(pairs.distinct(), f"near-pairs-{label}")
-        both = pairs.join(whole.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
-            whole.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
-        )
-        check = partial(_verify_batches, words=words, threshold=threshold)
-        return pairs, stored(both.mapInArrow(check, "a bigint, b bigint"), f"near-links-{label}")
-
-    leads = members.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    tested, links = verified(leads, "0")
-    classes = connected(links)
-    take = 4
-    members = members.select("bucket", "id").distinct()
-    while True:
-        placed = members.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        placed = stored(placed, "near-placed")
-        open_ = (
-            placed.groupBy("bucket")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-            .where("low != high")
-        )
-        open_ = stored(open_, "near-open")
-        largest = open_.agg(F.max("n")).first()[0] or 0
-        if largest <= 2:  # two texts in a bucket have met already
-            break
-        placed = stored(placed.join(open_.select("bucket", "n"), "bucket"), "near-placed-open")
-        by_id = Window.partitionBy("bucket").orderBy("id")
-        some = placed.withColumn("at", F.row_number().over(by_id)).where(F.col("at") <= take)
-        some = stored(some.select("bucket", F.col("id").alias("x"), F.col("root").alias("root_x")), "near-some")
-        pairs = (
-            placed.join(some, "bucket")
-            .where("root != root_x AND id != x")
-            .select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        pairs, more = verified(pairs, str(take))
-        if pairs.isEmpty():
-            if largest <= take:
-                break
-        else:
-            tested, links = tested.unionByName(pairs), links.unionByName(more)
-            if not more.isEmpty():
-                classes = connected(links)
-        take *= 4
+    shared = spots.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead != last")
+    shared = stored(shared.select("bucket", "lead"), "near-buckets")
+    # a family: texts connected by shared buckets
+    met = spots.join(shared.hint("merge"), "bucket").where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
+    family = connected(met.distinct()).select(F.col("node").alias("id"), F.col("root").alias("family"))
+    sizes = stored(family.groupBy("family").agg(F.count("*").alias("n")), "near-sizes")
+    members = stored(family.join(sizes.hint("merge"), "family"), "near-members")
+    chosen = members.join(first.hint("merge"), "id").select("id", "key")
+    whole = stored(texts.join(chosen.hint("merge"), ["id", "key"]).select("id", "text"), "near-texts")
+
+    # of a family beyond one block, what is near its smallest id is one class at once
+    large = members.where(F.col("n") > block).select(F.col("family").alias("a"), F.col("id").alias("b")).where("a != b")
+    pairs = large.join(whole.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
+        whole.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
+    )
+    verify = partial(_verify_batches, words=words, threshold=threshold)
+    led = stored(pairs.mapInArrow(verify, "a bigint, b bigint"), "near-led")
+    parts = (
+        members.join(led.select(F.col("b").alias("id"), F.lit(True).alias("led")).distinct(), "id", "left")
+        .withColumn("led", F.coalesce("led", F.lit(False)) | ((F.col("id") == F.col("family")) & (F.col("n") > block)))
+        .select("family", "id", "led", F.when(F.col("n") > block, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block))).otherwise(0).alias("part"))
+    )
+    parts = stored(parts, "near-parts")
+    kinds = stored(parts.select("family", "led", "part").distinct(), "near-kinds")
+    spot = F.struct("led", "part")
+    left = kinds.select("family", spot.alias("x"))
+    right = kinds.select("family", spot.alias("y"))
+    # the pairs of parts of a family, but for two parts of the class just found
+    tasks = left.join(right, "family").where("x <= y AND NOT (x.led AND y.led)")
+    code = lambda c: F.col(c)["part"] * 2 + F.col(c)["led"].cast("int")
+    tasks = tasks.select("family", "x", "y", code("x").cast("bigint").alias("i"), code("y").cast("bigint").alias("j"))
+    both = F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("k"), F.lit(2).alias("side")))).otherwise(
+        F.array(F.struct(F.col("x").alias("k"), F.lit(0).alias("side")), F.struct(F.col("y").alias("k"), F.lit(1).alias("side")))
+    )
+    tasks = tasks.withColumn("s", F.explode(both)).select("family", "i", "j", "s.k.led", "s.k.part", "s.side")
+    order = ["family", "i", "j"]
+    placed = parts.join(stored(tasks, "near-tasks"), ["family", "led", "part"]).select(*order, "side", "id")
+    groups = placed.join(whole, "id").select(*order, "side", "id", "text").repartition(*order).sortWithinPartitions(*order)
+    compare = partial(_family_batches, words=words, threshold=threshold)
+    links = stored(groups.mapInArrow(compare, "a bigint, b bigint"), "near-links")
+    classes = connected(links.unionByName(led))
     named = first.join(classes.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("root", "id").alias("class_id"))
     found = signed.select("id", "key").join(stored(named, "near-named"), "key").select("id", "class_id")
     alone = base.where("text IS NULL").select("id", F.col("id").alias("class_id"))
