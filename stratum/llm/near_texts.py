@@ -84,7 +84,8 @@ def prob_minhash(owner, shingle, weight, texts: int, size: int):
         uniform = ((draw >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
         now = time[active] - np.log(uniform) / weight[active]
         time[active] = now
-        spot = owner[active] * size + (((draw & np.uint64(0x7FF)) * np.uint64(size)) >> np.uint64(11)).astype(np.int64)
+        slot = ((mix(draw) >> np.uint64(32)) * np.uint64(size)) >> np.uint64(32)
+        spot = owner[active] * size + slot.astype(np.int64)
         early = np.flatnonzero(now < first[spot])
         early = early[np.argsort(-now[early], kind="stable")]  # of equal places the earliest arrival is written last
         first[spot[early]] = now[early]
