@@ -29,7 +29,8 @@ def connected(edges: DataFrame) -> DataFrame:
         # large star: every neighbour above u goes to the smallest of u and its neighbours
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # written first: the join then shuffles both sides, and Spark splits a node with very many neighbours
+        large = both.join(stored(low, "components-low"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: u and its neighbours below u go to the smallest of those
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         below = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
