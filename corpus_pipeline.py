@@ -15,6 +15,8 @@ from stratum.llm.common import stored, table
 
 #: Texts with less than this part of known n-grams are in none of the languages.
 MIN_SCORE = 0.2
+#: Encoded words that a worker keeps, about 20 MB.
+MEMO_WORDS = 80_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, out="__bytes")
+    # a worker keeps its memo between tasks, also while it runs other stages: a small one here
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, memo_words=MEMO_WORDS)
+    encoded = bpe.decode(encoded, ranks, out="__bytes")
     same = F.col("__bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return encoded.withColumn("n_tokens", F.size("token_ids").cast("bigint")).withColumn("round_trip", same).select(
         *(c for c in docs.columns if c not in ("text", "n_tokens", "round_trip", "token_ids")), "n_tokens", "round_trip", "token_ids"

@@ -123,7 +123,7 @@ def _encode_batches(batches, *, ranks, name: str, splitter, text: str, out: str,
     import pyarrow as pa
 
     words = WordSplitter(splitter)
-    memo = worker_cache(f"bpe-{name}", lambda: _Memo(ranks))
+    memo = worker_cache(f"bpe-{name}-{memo_words}", lambda: _Memo(ranks))
     for batch in batches:
         column = batch.column(text)
         for start, stop in text_slices(column):

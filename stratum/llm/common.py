@@ -41,7 +41,7 @@ def append_column(batch, name: str, values):
     )
 
 
-def text_slices(column, max_bytes: int = 8 << 20):
+def text_slices(column, max_bytes: int = 2 << 20):
     """Row ranges ``(start, end)`` of an Arrow string column of about
     ``max_bytes`` each (one row at least), so that a batch of very long texts
     is not turned into Python objects all at once."""
