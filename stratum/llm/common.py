@@ -58,6 +58,21 @@ def text_slices(column, max_bytes: int = 2 << 20):
         yield start, len(lengths)
 
 
+def first_of_each(batches):
+    """Arrow batches without the rows whose ``key`` the row before already had:
+    a merge join leaves rows of equal id and text next to each other."""
+    import numpy as np
+    import pyarrow as pa
+
+    last = None
+    for batch in batches:
+        keys = batch.column("key").to_numpy()
+        if len(keys):
+            new = np.r_[last is None or keys[0] != last, keys[1:] != keys[:-1]]
+            last = keys[-1]
+            yield batch.filter(pa.array(new))
+
+
 def worker_cache(name: str, make):
     """An object that a Python worker keeps between its tasks, made on first
     use; the caller bounds its size. A new worker simply starts anew."""

@@ -14,7 +14,7 @@ at 0.8 is missed with probability 3e-5. Texts connected by shared buckets are a
 family. Within a family all texts are compared exactly, by blocks: matrix
 products of their shingles inside a task, which returns only the links that
 connect them. Pairs are never written out. A family of more than ``block``
-texts is first compared with its smallest id; what is near that is one class,
+texts is first compared with one of its texts; what is near that is one class,
 and parts of this class need no comparison with each other. The other pairs of
 parts are blocks of their own, so no task holds more than two parts.
 
@@ -23,7 +23,10 @@ Equal texts are one text from the start.
 Defined results: a null text is a class of its own; texts without a word are
 near only to equal ones; a class is named by its smallest id, and ``kept``
 marks that document; rows with equal ids count as one document, linked by any
-of their texts; words are separated by blanks (space, tab to carriage return).
+of their texts (``without_copies`` decides by row instead); a null id is no
+name: such rows take part like all others, are kept only in a class without
+any id (one row of it), and only such a class has a null class_id; words are
+separated by blanks (space, tab to carriage return).
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored, text_slices
+from stratum.llm.common import first_of_each, stored, text_slices
 from stratum.llm.components import connected
 from stratum.llm.rolling import Roller, fold, mix
 
@@ -161,7 +164,7 @@ def _verify_batches(batches, *, words: int, threshold: float):
             )
 
 
-def _family_links(owner, shingle, weight, rows: slice, side, ids, threshold: float):
+def _family_links(owner, shingle, weight, rows: slice, side, keys, threshold: float):
     """(a, b) pairs that connect what is connected by similarity in one group
     of texts: all its pairs are compared (those of side 0 with side 1 if the
     group has two sides), a spanning set of the near ones is given."""
@@ -213,7 +216,7 @@ def _family_links(owner, shingle, weight, rows: slice, side, ids, threshold: flo
                 if similarity(names[p], counts[p], names[q], counts[q]) < threshold - 1e-12:
                     continue
             root[max(u, v)] = min(u, v)
-            yield ids[a], ids[b]
+            yield keys[a], keys[b]
 
 
 def _family_batches(batches, *, words: int, threshold: float):
@@ -228,7 +231,7 @@ def _family_batches(batches, *, words: int, threshold: float):
         new = np.r_[True, np.any([v[1:] != v[:-1] for v in values], axis=0)]
         starts = np.flatnonzero(new)
         stops = np.r_[starts[1:], table.num_rows]
-        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        keys, side = table.column("key").to_numpy(), table.column("side").to_numpy()
         at = 0
         while at < len(starts):  # some groups at a time, about SLICE bytes
             last = at
@@ -244,7 +247,7 @@ def _family_batches(batches, *, words: int, threshold: float):
             for g in range(at, last):
                 own = slice(starts[g], stops[g])
                 rows = slice(starts[g] - lo, stops[g] - lo)
-                links += _family_links(owner, shingle, weight, rows, side[own], ids[own], threshold)
+                links += _family_links(owner, shingle, weight, rows, side[own], keys[own], threshold)
             if links:
                 a, b = zip(*links)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -265,45 +268,41 @@ def _family_batches(batches, *, words: int, threshold: float):
         yield from found(waiting)
 
 
-def near_classes(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    words: int = WORDS,
-    threshold: float = THRESHOLD,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    block: int = 1000,
-) -> DataFrame:
-    """One row for each row of ``docs``: the id, class_id and kept."""
+def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: float, bands: int, rows: int, block: int):
+    """(signed, first, links): ``signed`` has id, key (names equal texts) and a
+    row number of each row with a text, ``first`` for each key its smallest id
+    and row number, ``links`` (a, b) connect the keys of near texts."""
     base = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     texts = base.where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
     sign = partial(_sign_batches, words=words, bands=bands, rows=rows)
-    signed = stored(texts.mapInArrow(sign, "id bigint, key bigint, bands array<bigint>"), "near-signed")
-    first = stored(signed.groupBy("key").agg(F.min("id").alias("id")), "near-first")
-    spots = signed.join(first.hint("merge"), ["key", "id"], "left_semi").select("id", F.explode("bands").alias("bucket"))
+    signed = texts.mapInArrow(sign, "id bigint, key bigint, bands array<bigint>").withColumn("row", F.monotonically_increasing_id())
+    signed = stored(signed, "near-signed")
+    first = stored(signed.groupBy("key").agg(F.min("id").alias("id"), F.min("row").alias("row")), "near-first")
+    spots = signed.join(first.select("row").hint("merge"), "row", "left_semi").select("key", F.explode("bands").alias("bucket"))
     spots = stored(spots, "near-spots")
-    shared = spots.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead != last")
+    shared = spots.groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead != last")
     shared = stored(shared.select("bucket", "lead"), "near-buckets")
     # a family: texts connected by shared buckets
-    met = spots.join(shared.hint("merge"), "bucket").where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    family = connected(met.distinct()).select(F.col("node").alias("id"), F.col("root").alias("family"))
+    met = spots.join(shared.hint("merge"), "bucket").where("key != lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    family = connected(met.distinct()).select(F.col("node").alias("key"), F.col("root").alias("family"))
     sizes = stored(family.groupBy("family").agg(F.count("*").alias("n")), "near-sizes")
     members = stored(family.join(sizes.hint("merge"), "family"), "near-members")
-    chosen = members.join(first.hint("merge"), "id").select("id", "key")
-    whole = stored(texts.join(chosen.hint("merge"), ["id", "key"]).select("id", "text"), "near-texts")
-
-    # of a family beyond one block, what is near its smallest id is one class at once
-    large = members.where(F.col("n") > block).select(F.col("family").alias("a"), F.col("id").alias("b")).where("a != b")
-    pairs = large.join(whole.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        whole.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"
+    chosen = members.join(first.hint("merge"), "key").select(F.col("id").alias("first_id"), F.col("key").alias("first_key"))
+    # one text of each key; its id may be null
+    whole = texts.join(chosen.hint("merge"), (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
+    whole = stored(whole.select("key", "text").mapInArrow(first_of_each, "key bigint, text string"), "near-texts")
+
+    # of a family beyond one block, what is near its smallest key is one class at once
+    large = members.where(F.col("n") > block).select(F.col("family").alias("a"), F.col("key").alias("b")).where("a != b")
+    pairs = large.join(whole.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
+        whole.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
     )
     verify = partial(_verify_batches, words=words, threshold=threshold)
     led = stored(pairs.mapInArrow(verify, "a bigint, b bigint"), "near-led")
     parts = (
-        members.join(led.select(F.col("b").alias("id"), F.lit(True).alias("led")).distinct(), "id", "left")
-        .withColumn("led", F.coalesce("led", F.lit(False)) | ((F.col("id") == F.col("family")) & (F.col("n") > block)))
-        .select("family", "id", "led", F.when(F.col("n") > block, F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block))).otherwise(0).alias("part"))
+        members.join(led.select(F.col("b").alias("key"), F.lit(True).alias("led")).distinct(), "key", "left")
+        .withColumn("led", F.coalesce("led", F.lit(False)) | ((F.col("key") == F.col("family")) & (F.col("n") > block)))
+        .select("family", "key", "led", F.when(F.col("n") > block, F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / block))).otherwise(0).alias("part"))
     )
     parts = stored(parts, "near-parts")
     kinds = stored(parts.select("family", "led", "part").distinct(), "near-kinds")
@@ -319,20 +318,72 @@ def near_classes(
     )
     tasks = tasks.withColumn("s", F.explode(both)).select("family", "i", "j", "s.k.led", "s.k.part", "s.side")
     order = ["family", "i", "j"]
-    placed = parts.join(stored(tasks, "near-tasks"), ["family", "led", "part"]).select(*order, "side", "id")
-    groups = placed.join(whole, "id").select(*order, "side", "id", "text").repartition(*order).sortWithinPartitions(*order)
+    placed = parts.join(stored(tasks, "near-tasks"), ["family", "led", "part"]).select(*order, "side", "key")
+    groups = placed.join(whole, "key").select(*order, "side", "key", "text").repartition(*order).sortWithinPartitions(*order)
     compare = partial(_family_batches, words=words, threshold=threshold)
     links = stored(groups.mapInArrow(compare, "a bigint, b bigint"), "near-links")
-    classes = connected(links.unionByName(led))
-    named = first.join(classes.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("root", "id").alias("class_id"))
-    found = signed.select("id", "key").join(stored(named, "near-named"), "key").select("id", "class_id")
-    alone = base.where("text IS NULL").select("id", F.col("id").alias("class_id"))
-    return found.unionByName(alone).select(
-        F.col("id").alias(id), "class_id", (F.col("id") == F.col("class_id")).alias("kept")
-    )
+    return signed.select("id", "key", "row"), first, links.unionByName(led)
 
 
-def without_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id."""
-    dropped = near_classes(docs, id, text, **options).where(~F.col("kept")).select(F.col(id)).distinct()
-    return docs.join(stored(dropped, "near-dropped"), id, "left_anti").select(*docs.columns)
+def near_classes(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    threshold: float = THRESHOLD,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = 1000,
+) -> DataFrame:
+    """One row for each row of ``docs``: the id, class_id and kept."""
+    signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block)
+    # the texts of one id belong together
+    several = signed.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("last")).where("a != last")
+    same = signed.join(stored(several.select("id", "a"), "near-same-id"), "id").select("a", F.col("key").alias("b"))
+    classes = stored(connected(links.unionByName(same)).withColumnRenamed("node", "key").join(first.hint("merge"), "key"), "near-classes")
+    lowest = classes.groupBy("root").agg(F.min("id").alias("class_id"), F.min("row").alias("lead"))
+    # written first: the joins then shuffle both sides, and Spark splits a class or a text with very many rows
+    lowest = classes.select("key", "root").join(stored(lowest, "near-lowest").hint("merge"), "root").drop("root")
+    named = first.join(lowest, "key", "left").select("key", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("lead", "row").alias("lead"))
+    found = signed.join(stored(named, "near-named"), "key")
+    kept = F.when(F.col("id").isNotNull(), F.col("id") == F.col("class_id")).otherwise(F.col("class_id").isNull() & (F.col("row") == F.col("lead")))
+    found = found.select("id", "class_id", kept.alias("kept"))
+    own = F.col(id).cast("bigint")
+    alone = docs.where(F.col(text).isNull()).select(own.alias("id"), own.alias("class_id"), F.lit(True).alias("kept"))
+    return found.unionByName(alone).select(F.col("id").alias(id), "class_id", "kept")
+
+
+def without_copies(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    threshold: float = THRESHOLD,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = 1000,
+) -> DataFrame:
+    """``docs`` with exactly one row of each class of near texts, that of the
+    smallest id (nulls last; then of the smallest key of its text). Here only
+    texts make a class: rows of one id with unlike texts stay, of rows with
+    equal id and text one stays. Null texts stay."""
+    signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block)
+    classes = stored(connected(links).withColumnRenamed("node", "key").join(first.hint("merge"), "key"), "near-classes")
+    lead = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("lead"))
+    lead = stored(lead.select(F.col("lead")["key"].alias("key"), F.lit(True).alias("leads")), "near-leads")
+    gone = classes.select("key").join(lead.hint("merge"), "key", "left_anti").withColumn("gone", F.lit(True))
+    named = first.select("key", F.col("id").alias("first_id")).join(gone, "key", "left")
+    pairs = stored(signed.groupBy("id", "key").agg(F.count("*").alias("n")), "near-pairs")
+    pairs = pairs.join(stored(named, "near-named"), "key").withColumn("stays", F.col("gone").isNull() & F.col("id").eqNullSafe(F.col("first_id")))
+    pairs = pairs.where("NOT stays OR n > 1").select(F.col("id").alias("__pair_id"), F.col("key").alias("__pair_key"), "stays")
+    pairs = stored(pairs, "near-pairs-named")
+    mine = docs.withColumn("__id", F.col(id).cast("bigint")).withColumn("__key", F.when(F.col(text).isNotNull(), F.xxhash64(text)))
+    same = (F.col("__key") == F.col("__pair_key")) & F.col("__id").eqNullSafe(F.col("__pair_id"))
+    left = mine.join(pairs.where("NOT stays"), same, "left_anti")
+    again = pairs.where("stays")
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    # rows of equal id and text: the one whose columns have the smallest hash
+    every = F.struct(*docs.columns)
+    one = left.join(again, same, "left_semi").groupBy("__id", "__key").agg(F.min_by(every, F.xxhash64(F.to_json(every))).alias("__row"))
+    return left.join(again, same, "left_anti").select(*docs.columns).unionByName(one.select("__row.*"))

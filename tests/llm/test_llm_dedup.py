@@ -156,6 +156,34 @@ def test_pipeline_against_brute_force(spark):
         assert r.token_ids == library.encode_ordinary(left[r.doc_id]) and r.round_trip and r.n_tokens == len(r.token_ids)
 
 
+def test_one_row_of_each_class_stays(spark):
+    """Repeated rows, equal ids and null ids: one row of each class goes on,
+    and the next stage has nothing to empty."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+
+    def text(n=120):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    twice, copied, edited, unlike, nameless, lost, third = (text() for _ in range(7))
+    rows = [(1, twice), (1, twice), (2, copied), (None, copied), (3, edited), (3, edited + " more"), (4, unlike), (4, third), (None, nameless),
+            (None, nameless), (None, nameless + " more"), (5, lost + " more"), (None, lost), (6, None), (6, None), (None, None), (1, None), (9, third)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, n_chars int")
+    left = corpus_pipeline.near_dedup(spark, docs, "")
+    assert left.columns == docs.columns
+    got = left.collect()
+    texts = collections.Counter((r.doc_id, r.text) for r in got)
+    for i, t in [(1, twice), (2, copied), (4, unlike), (4, third), (5, lost + " more")]:
+        assert texts[i, t] == 1
+    assert texts[3, edited] + texts[3, edited + " more"] == 1 and texts[None, nameless] + texts[None, nameless + " more"] == 1
+    assert sum(1 for r in got if r.text is None) == 4 and len(got) == 7 + 4
+    assert all((r.doc_id, r.text) == rows[r.n_chars] for r in got)  # a row's columns stay together
+    assert sorted(r.text for r in corpus_pipeline.repeated_strings(spark, left, "").collect() if r.text is not None) == sorted(
+        r.text for r in got if r.text is not None
+    )
+
+
 def test_registered():
     import __spark_entry__ as entry
 
