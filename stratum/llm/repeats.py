@@ -32,7 +32,8 @@ repeated anchor move.
 
 Defined results: a null text counts as empty; texts shorter than ``length``
 stay as they are; texts are judged as UTF-8 bytes on the input; each row is a
-text of its own, so a repeated row makes both go.
+text of its own, so a repeated row makes both go; a null id is an id like any
+other (rows with null ids take part, as many as there are).
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored, text_slices
+from stratum.llm.common import first_of_each, stored, text_slices
 from stratum.llm.rolling import Roller, fold, mix
 
 GRAM, BEHIND, GROUP = 32, 128, 16
@@ -235,8 +236,12 @@ def repeated_texts(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     # written first: a join of two shuffles is split by Spark where a name is very frequent
     twice = stored(first.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "repeats-twice")
     touched = first.join(twice.hint("merge"), "name", "left_semi").groupBy("key").agg(F.collect_set("name").alias("names"))
-    chosen = stored(texts.select("id", "key").join(touched.hint("merge"), "key"), "repeats-chosen")
-    moved = stored(long.join(chosen.hint("merge"), ["id", "key"]).select("key", "text", "names"), "repeats-texts")
+    chosen = texts.select(F.col("id").alias("first_id"), "key").join(touched.hint("merge"), "key").withColumnRenamed("key", "first_key")
+    chosen = stored(chosen, "repeats-chosen")
+    # one text of each key; its id may be null
+    moved = long.join(chosen.hint("merge"), (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
+    moved = moved.select("key", "text", "names").mapInArrow(first_of_each, "key bigint, text string, names array<bigint>")
+    moved = stored(moved, "repeats-texts")
     stretches = stored(moved.mapInArrow(partial(_anchor_batches, length=length), STRETCH), "repeats-anchors")
     covered, open_ = _round(stretches, length, False)
     parts = [covered]

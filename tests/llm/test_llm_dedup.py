@@ -156,6 +156,27 @@ def test_pipeline_against_brute_force(spark):
         assert r.token_ids == library.encode_ordinary(left[r.doc_id]) and r.round_trip and r.n_tokens == len(r.token_ids)
 
 
+def test_null_ids_take_part(spark):
+    rng = random.Random(5)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+
+    p1, p2, p3 = text(450), text(430), text(600)
+    rows = [(1, text(80) + p1 + text(50)), (None, text(300) + p1), (None, p2 + text(20)), (None, text(20) + p2), (None, p3), (None, p3), (None, p3), (2, text(9) + p3[50:560])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    key = lambda r: (r[0] or 0, *r[1:])
+    want = [(i, n, removed, spans, brute.sha(kept)) for i, n, removed, spans, kept in brute.repeats(rows)]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    words = [f"w{i}" for i in range(100)]
+    other = [f"v{i}" for i in range(100)]
+    rows = [(7, " ".join(words)), (None, " ".join(words[:-1])), (None, " ".join(words[:-1])), (None, " ".join(other)), (None, " ".join(other)), (None, " ".join(other[1:])), (None, None), (8, None)]
+    near = near_texts.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = collections.Counter((r.doc_id, r.class_id, r.kept) for r in near.collect())
+    assert got == {(7, 7, True): 1, (None, 7, False): 2, (None, None, True): 2, (None, None, False): 2, (8, 8, True): 1}
+
+
 def test_one_row_of_each_class_stays(spark):
     """Repeated rows, equal ids and null ids: one row of each class goes on,
     and the next stage has nothing to empty."""
