@@ -14,9 +14,11 @@ at 0.8 is missed with probability 3e-5. Texts connected by shared buckets are a
 family. Within a family all texts are compared exactly, by blocks: matrix
 products of their shingles inside a task, which returns only the links that
 connect them. Pairs are never written out. A family of more than ``block``
-texts is first compared with one of its texts; what is near that is one class,
+texts or ``block_bytes`` bytes is first compared with one of its texts; what is near that is one class,
 and parts of this class need no comparison with each other. The other pairs of
-parts are blocks of their own, so no task holds more than two parts.
+parts are blocks of their own, so no task holds more than two parts: about
+``block_bytes`` of text each, or one longer text. Shingles are computed a slice
+of texts at a time, and the matrix is there for some of its columns at a time.
 
 Equal texts are one text from the start.
 
@@ -42,6 +44,10 @@ from stratum.llm.rolling import Roller, fold, mix
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 20, 4, 0.8
 SLICE = 1 << 20
+#: Bytes of text in a part of a family; a longer text is a part of its own.
+BLOCK_BYTES = 4 << 20
+#: Cells of the incidence matrix that are there at a time.
+CELLS = 4 << 20
 
 
 def weighted_shingles(column, roll: Roller, words: int = WORDS):
@@ -71,6 +77,18 @@ def weighted_shingles(column, roll: Roller, words: int = WORDS):
     return owner[new], shingle[new], np.diff(np.r_[new, len(owner)]).astype(float)
 
 
+def sliced_shingles(column, roll: Roller, words: int = WORDS):
+    """``weighted_shingles``, computed for about SLICE bytes of text at a time
+    (one text at least): its arrays take some 50 bytes a byte, the result a few."""
+    import numpy as np
+
+    parts = []
+    for start, stop in text_slices(column, SLICE):
+        owner, shingle, weight = weighted_shingles(column.slice(start, stop - start), roll, words)
+        parts.append((owner + start, shingle, weight))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def prob_minhash(owner, shingle, weight, texts: int, size: int):
     """uint64[texts, size]: the shingle that each component keeps."""
     import numpy as np
@@ -101,6 +119,7 @@ def prob_minhash(owner, shingle, weight, texts: int, size: int):
 def _sign_batches(batches, *, words: int, bands: int, rows: int):
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     roll = Roller()
     for batch in batches:
@@ -113,7 +132,8 @@ def _sign_batches(batches, *, words: int, bands: int, rows: int):
             some = np.bincount(owner, minlength=n) > 0
             offsets = np.r_[0, np.cumsum(np.where(some, bands, 0))]
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[some].ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), lists], names=["id", "key", "bands"])
+            sizes = pc.binary_length(part.column("text")).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), sizes, lists], names=["id", "key", "bytes", "bands"])
 
 
 def similarity(shingle_a, weight_a, shingle_b, weight_b) -> float:
@@ -142,10 +162,11 @@ def similarity(shingle_a, weight_a, shingle_b, weight_b) -> float:
 def _verify_batches(batches, *, words: int, threshold: float):
     import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     roll = Roller()
     for batch in batches:
-        for start, stop in text_slices(batch.column("text_a"), SLICE // 2):
+        for start, stop in text_slices(pc.binary_join_element_wise(batch.column("text_a"), batch.column("text_b"), ""), SLICE):
             part = batch.slice(start, stop - start)
             sides = []
             for name in ("text_a", "text_b"):
@@ -179,11 +200,28 @@ def _family_links(owner, shingle, weight, rows: slice, side, keys, threshold: fl
     _, column, often = np.unique(names, return_inverse=True, return_counts=True)
     shared = often[column] > 1  # the others are in no intersection
     _, column = np.unique(column[shared], return_inverse=True)
-    has = np.zeros((n, int(column.max()) + 1 if len(column) else 1), np.float32)
-    has[text[shared], column] = 1
+    order = np.argsort(column, kind="stable")
+    column, holder, count = column[order], text[shared][order], counts[shared][order]
     left, right = (np.flatnonzero(side != 1), np.flatnonzero(side != 0)) if (side != 2).any() else (np.arange(n), np.arange(n))
     ends = np.searchsorted(text, np.arange(n + 1))
     root = np.arange(n)
+    odd = not plain.all()
+    shape = (len(left), len(right))
+    commons = np.zeros(shape)
+    # of either text, how much lies in common shingles; only of use where one repeats
+    masses_x, masses_r = (np.zeros(shape), np.zeros(shape)) if odd else (None, None)
+    chunk = max(1, CELLS // n)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, chunk):
+        lo, hi = np.searchsorted(column, [low, low + chunk])
+        width = min(chunk, int(column[-1]) + 1 - low)
+        has = np.zeros((n, width), np.float32)
+        has[holder[lo:hi], column[lo:hi] - low] = 1
+        has_x, has_r = has[left], has[right]
+        commons += has_x @ has_r.T
+        if odd:
+            has[holder[lo:hi], column[lo:hi] - low] = count[lo:hi]
+            masses_x += has[left] @ has_r.T
+            masses_r += has_x @ has[right].T
 
     def find(x):
         while root[x] != x:
@@ -193,19 +231,16 @@ def _family_links(owner, shingle, weight, rows: slice, side, keys, threshold: fl
 
     for at in range(0, len(left), 256):
         x = left[at : at + 256]
-        common = has[x] @ has[right].T
+        common = commons[at : at + 256]
         union = size[x][:, None] + size[right][None, :] - common
         both_plain = plain[x][:, None] & plain[right][None, :]
         # J_P is at most the part of either text that lies in common shingles
-        odd_x, odd_r = np.flatnonzero(~plain[x]), np.flatnonzero(~plain[right])
         near = both_plain & (common >= (threshold - 1e-12) * union)
         maybe = np.zeros_like(near)
-        if len(odd_x) or len(odd_r):
-            mass = np.zeros_like(has)
-            mass[text[shared], column] = counts[shared]
-            in_x = (mass[x] @ has[right].T) / np.maximum(total[x], 1)[:, None]
-            in_r = (has[x] @ mass[right].T) / np.maximum(total[right], 1)[None, :]
-            maybe = ~both_plain & (in_x >= threshold - 1e-6) & (in_r >= threshold - 1e-6)
+        if odd:
+            in_x = masses_x[at : at + 256] / np.maximum(total[x], 1)[:, None]
+            in_r = masses_r[at : at + 256] / np.maximum(total[right], 1)[None, :]
+            maybe = ~both_plain & (in_x >= threshold - 1e-5) & (in_r >= threshold - 1e-5)
         for i, j in zip(*np.nonzero((near | maybe) & (x[:, None] != right[None, :]))):
             a, b = x[i], right[j]
             u, v = find(a), find(b)
@@ -242,7 +277,7 @@ def _family_batches(batches, *, words: int, threshold: float):
                 last += 1
             lo, hi = starts[at], stops[last - 1]
             column = table.column("text").slice(lo, hi - lo).combine_chunks()
-            owner, shingle, weight = weighted_shingles(column, roll, words)
+            owner, shingle, weight = sliced_shingles(column, roll, words)
             links = []
             for g in range(at, last):
                 own = slice(starts[g], stops[g])
@@ -268,16 +303,16 @@ def _family_batches(batches, *, words: int, threshold: float):
         yield from found(waiting)
 
 
-def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: float, bands: int, rows: int, block: int):
+def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: float, bands: int, rows: int, block: int, block_bytes: int):
     """(signed, first, links): ``signed`` has id, key (names equal texts) and a
     row number of each row with a text, ``first`` for each key its smallest id
     and row number, ``links`` (a, b) connect the keys of near texts."""
     base = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
     texts = base.where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
     sign = partial(_sign_batches, words=words, bands=bands, rows=rows)
-    signed = texts.mapInArrow(sign, "id bigint, key bigint, bands array<bigint>").withColumn("row", F.monotonically_increasing_id())
+    signed = texts.mapInArrow(sign, "id bigint, key bigint, bytes bigint, bands array<bigint>").withColumn("row", F.monotonically_increasing_id())
     signed = stored(signed, "near-signed")
-    first = stored(signed.groupBy("key").agg(F.min("id").alias("id"), F.min("row").alias("row")), "near-first")
+    first = stored(signed.groupBy("key").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.max("bytes").alias("bytes")), "near-first")
     spots = signed.join(first.select("row").hint("merge"), "row", "left_semi").select("key", F.explode("bands").alias("bucket"))
     spots = stored(spots, "near-spots")
     shared = spots.groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead != last")
@@ -285,24 +320,34 @@ def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: floa
     # a family: texts connected by shared buckets
     met = spots.join(shared.hint("merge"), "bucket").where("key != lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
     family = connected(met.distinct()).select(F.col("node").alias("key"), F.col("root").alias("family"))
-    sizes = stored(family.groupBy("family").agg(F.count("*").alias("n")), "near-sizes")
-    members = stored(family.join(sizes.hint("merge"), "family"), "near-members")
-    chosen = members.join(first.hint("merge"), "key").select(F.col("id").alias("first_id"), F.col("key").alias("first_key"))
+    family = stored(family.join(first.hint("merge"), "key").select("family", "key", "id", "bytes"), "near-families")
+    sizes = family.groupBy("family").agg(F.count("*").alias("n"), F.sum("bytes").alias("sum"))
+    parts = F.ceil(F.greatest(F.col("n") / block, F.col("sum") / block_bytes))
+    sizes = stored(sizes.select("family", parts.alias("parts"), (F.col("sum") / F.col("n")).alias("mean")), "near-sizes")
+    members = family.join(sizes.hint("merge"), "family")
+    # what is compared with all others of a large family is no long text: it travels with each of them
+    usual = F.when(F.col("bytes") <= 2 * F.col("mean"), F.col("key"))
+    members = stored(members.withColumn("usual", usual), "near-members")
+    leads = stored(members.where("parts > 1").groupBy("family").agg(F.min("usual").alias("lead")), "near-family-leads")
+    chosen = members.select(F.col("id").alias("first_id"), F.col("key").alias("first_key"))
     # one text of each key; its id may be null
     whole = texts.join(chosen.hint("merge"), (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
     whole = stored(whole.select("key", "text").mapInArrow(first_of_each, "key bigint, text string"), "near-texts")
 
-    # of a family beyond one block, what is near its smallest key is one class at once
-    large = members.where(F.col("n") > block).select(F.col("family").alias("a"), F.col("key").alias("b")).where("a != b")
+    # of a family beyond one block, what is near its lead is one class at once
+    large = members.where("parts > 1").join(leads.hint("merge"), "family").select(F.col("lead").alias("a"), F.col("key").alias("b")).where("a != b")
     pairs = large.join(whole.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
         whole.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"
     )
     verify = partial(_verify_batches, words=words, threshold=threshold)
     led = stored(pairs.mapInArrow(verify, "a bigint, b bigint"), "near-led")
+    near = led.select(F.col("b").alias("key")).unionByName(leads.select(F.col("lead").alias("key"))).distinct()
+    # a text beyond block_bytes has a part of its own, numbered below zero
+    part = F.when(F.col("bytes") > block_bytes, -1 - F.col("key").bitwiseAND(F.lit((1 << 62) - 1))).otherwise(F.pmod(F.xxhash64("key"), "parts"))
     parts = (
-        members.join(led.select(F.col("b").alias("key"), F.lit(True).alias("led")).distinct(), "key", "left")
-        .withColumn("led", F.coalesce("led", F.lit(False)) | ((F.col("key") == F.col("family")) & (F.col("n") > block)))
-        .select("family", "key", "led", F.when(F.col("n") > block, F.pmod(F.xxhash64("key"), F.ceil(F.col("n") / block))).otherwise(0).alias("part"))
+        members.join(near.withColumn("led", F.lit(True)), "key", "left")
+        .withColumn("led", F.coalesce("led", F.lit(False)))
+        .select("family", "key", "led", F.when(F.col("parts") > 1, part).otherwise(0).alias("part"))
     )
     parts = stored(parts, "near-parts")
     kinds = stored(parts.select("family", "led", "part").distinct(), "near-kinds")
@@ -334,9 +379,10 @@ def near_classes(
     bands: int = BANDS,
     rows: int = ROWS,
     block: int = 1000,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row for each row of ``docs``: the id, class_id and kept."""
-    signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block)
+    signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block, block_bytes)
     # the texts of one id belong together
     several = signed.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("last")).where("a != last")
     same = signed.join(stored(several.select("id", "a"), "near-same-id"), "id").select("a", F.col("key").alias("b"))
@@ -362,12 +408,13 @@ def without_copies(
     bands: int = BANDS,
     rows: int = ROWS,
     block: int = 1000,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with exactly one row of each class of near texts, that of the
     smallest id (nulls last; then of the smallest key of its text). Here only
     texts make a class: rows of one id with unlike texts stay, of rows with
     equal id and text one stays. Null texts stay."""
-    signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block)
+    signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block, block_bytes)
     classes = stored(connected(links).withColumnRenamed("node", "key").join(first.hint("merge"), "key"), "near-classes")
     lead = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("lead"))
     lead = stored(lead.select(F.col("lead")["key"].alias("key"), F.lit(True).alias("leads")), "near-leads")

@@ -177,6 +177,49 @@ def test_null_ids_take_part(spark):
     assert got == {(7, 7, True): 1, (None, 7, False): 2, (None, None, True): 2, (None, None, False): 2, (8, 8, True): 1}
 
 
+def test_block_memory_is_bounded_by_bytes():
+    """2,000 texts that share many shingles, and a group of long texts: what
+    the comparison of a block allocates follows neither."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, each = 1000, 300
+    shingle = (np.arange(n)[:, None] * 100 + np.arange(each)[None, :]).ravel().astype(np.uint64)  # 100,200 different
+    owner = np.repeat(np.arange(n), each)
+    weight = np.ones(n * each)
+    weight[::each] = 2
+    tracemalloc.start()
+    links = list(near_texts._family_links(owner, shingle, weight, slice(0, n), np.full(n, 2), np.arange(n), 0.45))
+    peak = tracemalloc.get_traced_memory()[1]
+    assert sorted(tuple(sorted(x)) for x in links) == [(i, i + 1) for i in range(n - 1)]
+    assert peak < 200e6
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30000))
+    table = pa.table({"family": [1] * 40, "i": [0] * 40, "j": [0] * 40, "side": [2] * 40, "key": list(range(40)), "text": [f"{long} {k}" for k in range(40)]})
+    tracemalloc.reset_peak()
+    found = [r for b in near_texts._family_batches(table.to_batches(), words=5, threshold=0.8) for r in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 39
+    assert peak < 30 * table.nbytes
+
+
+def test_families_of_long_texts(spark):
+    """Parts by bytes: long texts alone, the others dealt, classes as ever."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    rows = []
+    for i in range(24):
+        words = list(base) if i % 4 else base * 3
+        for j in rng.sample(range(80), rng.choice([1, 2, 3])):
+            words[j] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = near_texts.near_classes(docs, block_bytes=1200).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute.near_classes(rows)
+
+
 def test_one_row_of_each_class_stays(spark):
     """Repeated rows, equal ids and null ids: one row of each class goes on,
     and the next stage has nothing to empty."""
