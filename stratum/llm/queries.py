@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import bpe, chat, langid, mixing, near_texts, quality, repeats, sharding, token_count, vectors
+from stratum.llm import bpe, chat, decontaminate, filter_audit, fim, langid, mixing, near_texts, quality, repeats, sharding, token_count, vectors
 from stratum.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,3 +226,110 @@ def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their class of near-duplicate texts."""
     return near_texts.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the benchmark items whose windows they hold."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op11_decontaminate"] = r"""
+WITH b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), k AS (
+  SELECT DISTINCT item, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS words
+  FROM (SELECT item, ws, least(10, len(ws)) AS size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), p AS (
+  SELECT doc_id, size, i, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS words
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM k) WHERE len(ws) >= size)
+), m AS (
+  SELECT doc_id, item, p.size, i FROM p JOIN k ON p.words = k.words AND p.size = k.size
+), h AS (
+  SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS w FROM m) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from all documents, in all orders."""
+    return filter_audit.audit(filter_audit.text_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), f AS (
+  SELECT doc_id, part, len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, [a, b, c, d, e] AS bits, count(*) AS n,
+         count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l ON l.doc_id = f.doc_id GROUP BY ALL
+), x AS (
+  SELECT unnest([1, 2, 3, 4, 5]) AS x
+), o AS (
+  SELECT [p.x, q.x, r.x, s.x, t.x] AS o FROM x p, x q, x r, x s, x t WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), g AS (
+  SELECT part, bits, n, good, toxic, o.o, list_position([bits[i] for i in o.o], true) AS gone FROM m, o
+), z AS (
+  SELECT part, o, step, o[step] AS filter, coalesce(sum(n) FILTER (gone IS NULL OR gone > step), 0) AS kept,
+         coalesce(sum(n) FILTER (gone = step), 0) AS removed, coalesce(sum(n) FILTER (bits[o[step]] AND gone < step), 0) AS redundant,
+         coalesce(sum(n) FILTER (bits[o[step]] AND len(list_filter(bits, lambda y: y)) = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (gone = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+  FROM g, (SELECT x AS step FROM x) GROUP BY part, o, step
+)
+SELECT part, array_to_string([substr('ABCDE', i, 1) for i in o], '') AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM z
+"""
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents transformed for filling in the middle, and back."""
+    framed = stored(fim.frames(table(spark, sf_dir, "documents").select("doc_id", "text")), "fim-frames")
+    return fim.digests(fim.transform(framed)).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || doc_id::VARCHAR) AS h FROM documents
+), g AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g
+), s AS (
+  SELECT *, array_to_string(u[1:lo], '') AS p, array_to_string(u[lo + 1:hi], '') AS m, array_to_string(u[hi + 1:], '') AS s FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form != 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form != 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
