@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.session import scratch_path
+from stratum.session import drop_scratch, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     the lineage, and a lost executor loses nothing of it."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._scratch = path
+    return kept
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of :func:`stored` frames that nothing reads any more:
+    what was derived from them must itself be stored by now."""
+    for df in frames:
+        drop_scratch(df.sparkSession, df._scratch)
 
 
 def let(value: Column, body) -> Column:

@@ -16,7 +16,8 @@ def documents(spark, sf=SF_SMALL):
     return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
 
 
-def test_repeats_equal_brute_force(spark):
+@pytest.mark.parametrize("length, shorter", [(400, None), (400, 250), (250, None), (120, 50)])
+def test_repeats_equal_brute_force(spark, length, shorter):
     rng = random.Random(3)
 
     def text(n):
@@ -30,12 +31,15 @@ def test_repeats_equal_brute_force(spark):
     rows += [(-1000 - i, text(rng.randrange(300)) + p1[i % 50 : 600 + i % 70] + text(rng.randrange(300))) for i in range(120)]
     docs = documents(spark).unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))
     docs = docs.withColumn("key", F.lit("clash")).withColumn("kept", F.lit(1))
-    want = brute.repeats([(r.doc_id, r.text) for r in docs.collect()])
-    got = repeats.remove_repeats(docs).collect()
+    given = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute.repeats(given, length)
+    got = repeats.remove_repeats(docs, length=length, shorter=shorter).collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(
         (i, n, removed, spans, brute.sha(kept)) for i, n, removed, spans, kept in want
     )
-    left = {r.doc_id: r.text for r in repeats.without_repeats(docs).collect()}
+    passages = want if shorter is None else brute.repeats(given, shorter)
+    assert sorted((r.doc_id, r.n_passage) for r in got) == sorted((i, removed) for i, _, removed, _, _ in passages)
+    left = {r.doc_id: r.text for r in repeats.without_repeats(docs, length=length).collect()}
     assert left[-1] is None and all(left[i] == kept.decode(errors="ignore") for i, *_, kept in want if i != -1)
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
