@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored
+from stratum.llm.common import forget, stored
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def connected(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # written first: the join then shuffles both sides, and Spark splits a node with very many neighbours
-        large = both.join(stored(low, "components-low"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low_ends = stored(low, "components-low")
+        large = both.join(low_ends, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: u and its neighbours below u go to the smallest of those
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         below = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -38,8 +39,10 @@ def connected(edges: DataFrame) -> DataFrame:
             below.unionByName(low.select("a", F.col("m").alias("b"))).where("a != b").distinct(), f"components-{step}"
         )
         same = after.count() == current.count() and after.exceptAll(current).isEmpty()
+        forget(low_ends, current)
         current = after
         if same:
             break
+    # the last round's edges stay: what is returned reads them
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -20,7 +20,11 @@ parts are blocks of their own, so no task holds more than two parts: about
 ``block_bytes`` of text each, or one longer text. Shingles are computed a slice
 of texts at a time, and the matrix is there for some of its columns at a time.
 
-Equal texts are one text from the start.
+Equal texts are one text from the start; they are known by 128 bits of their
+SHA-256. Words are named by 64-bit hashes that don't depend on their bytes
+linearly; names are only ever compared within a family, so that two different
+words meet under one name by chance once in some 10^11 comparisons of texts of
+10,000 words.
 
 Defined results: a null text is a class of its own; texts without a word are
 near only to equal ones; a class is named by its smallest id, and ``kept``
@@ -35,12 +39,12 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import first_of_each, stored, text_slices
+from stratum.llm.common import first_of_each, forget, stored, text_slices
 from stratum.llm.components import connected
-from stratum.llm.rolling import Roller, fold, mix
+from stratum.llm.rolling import fold, mix
 
 WORDS, BANDS, ROWS, THRESHOLD = 5, 20, 4, 0.8
 SLICE = 1 << 20
@@ -50,7 +54,38 @@ BLOCK_BYTES = 4 << 20
 CELLS = 4 << 20
 
 
-def weighted_shingles(column, roll: Roller, words: int = WORDS):
+#: Longer words are hashed one by one.
+LONG_WORD = 64
+
+
+def word_names(data, start, end):
+    """64-bit names of words (byte ranges of ``data``): a fold over 8 bytes at
+    a time, scrambled after each, so no pattern of bytes cancels out."""
+    import hashlib
+
+    import numpy as np
+
+    size = end - start
+    names = np.full(len(start), 0x9AE16A3B2F90404F, np.uint64)
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    left = np.flatnonzero(size <= LONG_WORD)
+    for chunk in range(0, LONG_WORD, 8):
+        left = left[size[left] > chunk]
+        if not len(left):
+            break
+        at = start[left] + chunk
+        inside = size[left] - chunk
+        value = np.zeros(len(left), np.uint64)
+        for i in range(8):
+            byte = np.where(i < inside, padded[np.minimum(at + i, len(padded) - 1)], np.uint8(0))
+            value |= byte.astype(np.uint64) << np.uint64(8 * i)
+        names[left] = fold([names[left], value])
+    for i in np.flatnonzero(size > LONG_WORD):
+        names[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return fold([names, size.astype(np.uint64)])
+
+
+def weighted_shingles(column, words: int = WORDS):
     """(owner, shingle, weight) of an Arrow string column, by owner: each
     text's different shingles as 64-bit names, with their counts."""
     import numpy as np
@@ -62,7 +97,7 @@ def weighted_shingles(column, roll: Roller, words: int = WORDS):
     start = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     end = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
     text = np.searchsorted(ends, start, side="right")
-    names = roll(data).ranges(start, end)
+    names = word_names(data, start, end)
     n = np.bincount(text, minlength=len(parts))
     first = np.cumsum(n) - n
     heads = np.maximum(n - words + 1, np.minimum(n, 1))
@@ -77,14 +112,14 @@ def weighted_shingles(column, roll: Roller, words: int = WORDS):
     return owner[new], shingle[new], np.diff(np.r_[new, len(owner)]).astype(float)
 
 
-def sliced_shingles(column, roll: Roller, words: int = WORDS):
+def sliced_shingles(column, words: int = WORDS):
     """``weighted_shingles``, computed for about SLICE bytes of text at a time
     (one text at least): its arrays take some 50 bytes a byte, the result a few."""
     import numpy as np
 
     parts = []
     for start, stop in text_slices(column, SLICE):
-        owner, shingle, weight = weighted_shingles(column.slice(start, stop - start), roll, words)
+        owner, shingle, weight = weighted_shingles(column.slice(start, stop - start), words)
         parts.append((owner + start, shingle, weight))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
@@ -121,19 +156,18 @@ def _sign_batches(batches, *, words: int, bands: int, rows: int):
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    roll = Roller()
     for batch in batches:
         for start, stop in text_slices(batch.column("text"), SLICE):
             part = batch.slice(start, stop - start)
             n = part.num_rows
-            owner, shingle, weight = weighted_shingles(part.column("text"), roll, words)
+            owner, shingle, weight = weighted_shingles(part.column("text"), words)
             kept = prob_minhash(owner, shingle, weight, n, bands * rows).reshape(n, bands, rows)
             keys = fold([kept[:, :, i] for i in range(rows)] + [np.arange(bands, dtype=np.uint64)[None, :]])
             some = np.bincount(owner, minlength=n) > 0
             offsets = np.r_[0, np.cumsum(np.where(some, bands, 0))]
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[some].ravel().view(np.int64)))
             sizes = pc.binary_length(part.column("text")).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), sizes, lists], names=["id", "key", "bytes", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), sizes, lists], names=["id", "digest", "bytes", "bands"])
 
 
 def similarity(shingle_a, weight_a, shingle_b, weight_b) -> float:
@@ -164,13 +198,12 @@ def _verify_batches(batches, *, words: int, threshold: float):
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    roll = Roller()
     for batch in batches:
         for start, stop in text_slices(pc.binary_join_element_wise(batch.column("text_a"), batch.column("text_b"), ""), SLICE):
             part = batch.slice(start, stop - start)
             sides = []
             for name in ("text_a", "text_b"):
-                owner, shingle, weight = weighted_shingles(part.column(name), roll, words)
+                owner, shingle, weight = weighted_shingles(part.column(name), words)
                 ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 sides.append((shingle, weight, ends))
             (sa, wa, ea), (sb, wb, eb) = sides
@@ -259,7 +292,6 @@ def _family_batches(batches, *, words: int, threshold: float):
     import numpy as np
     import pyarrow as pa
 
-    roll = Roller()
 
     def found(table):
         values = [table.column(n).to_numpy() for n in ("family", "i", "j")]
@@ -277,7 +309,7 @@ def _family_batches(batches, *, words: int, threshold: float):
                 last += 1
             lo, hi = starts[at], stops[last - 1]
             column = table.column("text").slice(lo, hi - lo).combine_chunks()
-            owner, shingle, weight = sliced_shingles(column, roll, words)
+            owner, shingle, weight = sliced_shingles(column, words)
             links = []
             for g in range(at, last):
                 own = slice(starts[g], stops[g])
@@ -303,24 +335,34 @@ def _family_batches(batches, *, words: int, threshold: float):
         yield from found(waiting)
 
 
+def text_digest(text: str) -> Column:
+    """128 bits that name a text; null for null."""
+    return F.substring(F.unhex(F.sha2(F.col(text), 256)), 1, 16)
+
+
 def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: float, bands: int, rows: int, block: int, block_bytes: int):
-    """(signed, first, links): ``signed`` has id, key (names equal texts) and a
-    row number of each row with a text, ``first`` for each key its smallest id
-    and row number, ``links`` (a, b) connect the keys of near texts."""
+    """(signed, first, links): ``signed`` has id, digest (names equal texts)
+    and a row number of each row with a text, ``first`` for each digest its
+    smallest id and row number, which is its key from here on, ``links`` (a, b)
+    connect the keys of near texts."""
     base = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    texts = base.where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
+    texts = base.where("text IS NOT NULL").withColumn("digest", text_digest("text"))
     sign = partial(_sign_batches, words=words, bands=bands, rows=rows)
-    signed = texts.mapInArrow(sign, "id bigint, key bigint, bytes bigint, bands array<bigint>").withColumn("row", F.monotonically_increasing_id())
-    signed = stored(signed, "near-signed")
-    first = stored(signed.groupBy("key").agg(F.min("id").alias("id"), F.min("row").alias("row"), F.max("bytes").alias("bytes")), "near-first")
-    spots = signed.join(first.select("row").hint("merge"), "row", "left_semi").select("key", F.explode("bands").alias("bucket"))
+    signed = texts.mapInArrow(sign, "id bigint, digest binary, bytes bigint, bands array<bigint>").withColumn("row", F.monotonically_increasing_id())
+    banded = stored(signed, "near-banded")
+    signed = stored(banded.select("id", "digest", "row"), "near-signed")
+    first = banded.groupBy("digest").agg(F.min("id").alias("id"), F.min("row").alias("key"), F.max("bytes").alias("bytes"))
+    first = stored(first, "near-first")
+    spots = banded.join(first.select(F.col("key").alias("row")).hint("merge"), "row", "left_semi").select(F.col("row").alias("key"), F.explode("bands").alias("bucket"))
     spots = stored(spots, "near-spots")
+    forget(banded)
     shared = spots.groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("last")).where("lead != last")
     shared = stored(shared.select("bucket", "lead"), "near-buckets")
     # a family: texts connected by shared buckets
     met = spots.join(shared.hint("merge"), "bucket").where("key != lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
     family = connected(met.distinct()).select(F.col("node").alias("key"), F.col("root").alias("family"))
-    family = stored(family.join(first.hint("merge"), "key").select("family", "key", "id", "bytes"), "near-families")
+    family = stored(family.join(first.hint("merge"), "key").select("family", "key", "id", "digest", "bytes"), "near-families")
+    forget(spots, shared)
     sizes = family.groupBy("family").agg(F.count("*").alias("n"), F.sum("bytes").alias("sum"))
     parts = F.ceil(F.greatest(F.col("n") / block, F.col("sum") / block_bytes))
     sizes = stored(sizes.select("family", parts.alias("parts"), (F.col("sum") / F.col("n")).alias("mean")), "near-sizes")
@@ -328,10 +370,11 @@ def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: floa
     # what is compared with all others of a large family is no long text: it travels with each of them
     usual = F.when(F.col("bytes") <= 2 * F.col("mean"), F.col("key"))
     members = stored(members.withColumn("usual", usual), "near-members")
+    forget(family, sizes)
     leads = stored(members.where("parts > 1").groupBy("family").agg(F.min("usual").alias("lead")), "near-family-leads")
-    chosen = members.select(F.col("id").alias("first_id"), F.col("key").alias("first_key"))
+    chosen = members.select(F.col("id").alias("first_id"), F.col("digest").alias("first_digest"), "key")
     # one text of each key; its id may be null
-    whole = texts.join(chosen.hint("merge"), (F.col("key") == F.col("first_key")) & F.col("id").eqNullSafe(F.col("first_id")))
+    whole = texts.join(chosen.hint("merge"), (F.col("digest") == F.col("first_digest")) & F.col("id").eqNullSafe(F.col("first_id")))
     whole = stored(whole.select("key", "text").mapInArrow(first_of_each, "key bigint, text string"), "near-texts")
 
     # of a family beyond one block, what is near its lead is one class at once
@@ -363,11 +406,13 @@ def _near_texts(docs: DataFrame, id: str, text: str, words: int, threshold: floa
     )
     tasks = tasks.withColumn("s", F.explode(both)).select("family", "i", "j", "s.k.led", "s.k.part", "s.side")
     order = ["family", "i", "j"]
-    placed = parts.join(stored(tasks, "near-tasks"), ["family", "led", "part"]).select(*order, "side", "key")
+    tasks = stored(tasks, "near-tasks")
+    placed = parts.join(tasks, ["family", "led", "part"]).select(*order, "side", "key")
     groups = placed.join(whole, "key").select(*order, "side", "key", "text").repartition(*order).sortWithinPartitions(*order)
     compare = partial(_family_batches, words=words, threshold=threshold)
     links = stored(groups.mapInArrow(compare, "a bigint, b bigint"), "near-links")
-    return signed.select("id", "key", "row"), first, links.unionByName(led)
+    forget(members, leads, whole, parts, kinds, tasks)
+    return signed, first.select("id", "digest", "key"), links.unionByName(led)
 
 
 def near_classes(
@@ -384,14 +429,16 @@ def near_classes(
     """One row for each row of ``docs``: the id, class_id and kept."""
     signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block, block_bytes)
     # the texts of one id belong together
-    several = signed.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("last")).where("a != last")
-    same = signed.join(stored(several.select("id", "a"), "near-same-id"), "id").select("a", F.col("key").alias("b"))
+    several = signed.where("id IS NOT NULL").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("last")).where("a != last")
+    same = signed.join(stored(several.select("id", "a"), "near-same-id"), "id").select("a", F.col("digest").alias("b")).distinct()
+    number = lambda c: first.select(F.col("digest").alias(c), F.col("key").alias(f"{c}_key")).hint("merge")
+    same = stored(same, "near-same").join(number("a"), "a").join(number("b"), "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
     classes = stored(connected(links.unionByName(same)).withColumnRenamed("node", "key").join(first.hint("merge"), "key"), "near-classes")
-    lowest = classes.groupBy("root").agg(F.min("id").alias("class_id"), F.min("row").alias("lead"))
+    lowest = classes.groupBy("root").agg(F.min("id").alias("class_id"), F.min("key").alias("lead"))
     # written first: the joins then shuffle both sides, and Spark splits a class or a text with very many rows
     lowest = classes.select("key", "root").join(stored(lowest, "near-lowest").hint("merge"), "root").drop("root")
-    named = first.join(lowest, "key", "left").select("key", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("lead", "row").alias("lead"))
-    found = signed.join(stored(named, "near-named"), "key")
+    named = first.join(lowest, "key", "left").select("digest", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("lead", "key").alias("lead"))
+    found = signed.join(stored(named, "near-named"), "digest")
     kept = F.when(F.col("id").isNotNull(), F.col("id") == F.col("class_id")).otherwise(F.col("class_id").isNull() & (F.col("row") == F.col("lead")))
     found = found.select("id", "class_id", kept.alias("kept"))
     own = F.col(id).cast("bigint")
@@ -411,20 +458,20 @@ def without_copies(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with exactly one row of each class of near texts, that of the
-    smallest id (nulls last; then of the smallest key of its text). Here only
+    smallest id (nulls last; then of the smallest digest of its text). Here only
     texts make a class: rows of one id with unlike texts stay, of rows with
     equal id and text one stays. Null texts stay."""
     signed, first, links = _near_texts(docs, id, text, words, threshold, bands, rows, block, block_bytes)
     classes = stored(connected(links).withColumnRenamed("node", "key").join(first.hint("merge"), "key"), "near-classes")
-    lead = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("lead"))
+    lead = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest", "key")).alias("lead"))
     lead = stored(lead.select(F.col("lead")["key"].alias("key"), F.lit(True).alias("leads")), "near-leads")
     gone = classes.select("key").join(lead.hint("merge"), "key", "left_anti").withColumn("gone", F.lit(True))
-    named = first.select("key", F.col("id").alias("first_id")).join(gone, "key", "left")
-    pairs = stored(signed.groupBy("id", "key").agg(F.count("*").alias("n")), "near-pairs")
-    pairs = pairs.join(stored(named, "near-named"), "key").withColumn("stays", F.col("gone").isNull() & F.col("id").eqNullSafe(F.col("first_id")))
-    pairs = pairs.where("NOT stays OR n > 1").select(F.col("id").alias("__pair_id"), F.col("key").alias("__pair_key"), "stays")
+    named = first.select("digest", "key", F.col("id").alias("first_id")).join(gone, "key", "left")
+    pairs = stored(signed.groupBy("id", "digest").agg(F.count("*").alias("n")), "near-pairs")
+    pairs = pairs.join(stored(named, "near-named"), "digest").withColumn("stays", F.col("gone").isNull() & F.col("id").eqNullSafe(F.col("first_id")))
+    pairs = pairs.where("NOT stays OR n > 1").select(F.col("id").alias("__pair_id"), F.col("digest").alias("__pair_key"), "stays")
     pairs = stored(pairs, "near-pairs-named")
-    mine = docs.withColumn("__id", F.col(id).cast("bigint")).withColumn("__key", F.when(F.col(text).isNotNull(), F.xxhash64(text)))
+    mine = docs.withColumn("__id", F.col(id).cast("bigint")).withColumn("__key", text_digest(text))
     same = (F.col("__key") == F.col("__pair_key")) & F.col("__id").eqNullSafe(F.col("__pair_id"))
     left = mine.join(pairs.where("NOT stays"), same, "left_anti")
     again = pairs.where("stays")
