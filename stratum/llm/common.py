@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,30 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def with_file_order(docs: DataFrame, part: str, row: str) -> DataFrame:
+    """``docs`` with its place in the files it is read from: the number in the
+    name of the part file and the row in it. Spark reads files in any order;
+    sorted by these two, rows are in the order in which a sorted frame was
+    written. Of a frame that is not read from files the places are those of its
+    partitions."""
+    try:
+        file = docs.metadataColumn("_metadata")
+        number = F.regexp_extract(file["file_name"], r"^part-(\d+)", 1).try_cast("int")
+        return docs.withColumns({part: F.coalesce(number, F.lit(0)), row: file["row_index"]})
+    except AnalysisException:
+        return docs.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()})
+
+
+def copies(rows: DataFrame, n: str, number: str, chunk: int = 10_000) -> DataFrame:
+    """Each row ``n`` times, numbered from 0 in ``number``. First every
+    ``chunk`` copies become a row and these are dealt out, so a row with very
+    many copies is multiplied by many tasks."""
+    at = rows.withColumn(number, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1, F.lit(chunk).cast("bigint"))))
+    at = at.repartition(F.xxhash64(*at.columns))
+    upto = F.least(F.col(number) + chunk, F.col(n)) - 1
+    return at.withColumn(number, F.explode(F.sequence(F.col(number), upto))).drop(n)
+
+
 def with_field(schema: T.StructType, name: str, dtype: T.DataType) -> T.StructType:
     """``schema`` with ``name`` appended; a column of that name goes."""
     return T.StructType([f for f in schema.fields if f.name != name]).add(name, dtype)

@@ -16,11 +16,14 @@ target rounded down.
 
 Running sums never gather a source in one task: documents fall into buckets by
 the leading bits of their order key, bucket totals are summed first, and each
-bucket (about ``bucket_rows`` documents) is summed on its own.
+bucket (about ``bucket_rows`` documents) is summed on its own. Rows of equal
+source, id and size are one row with a number of copies until the end, so an id
+(or null) that a third of all rows have is not gathered either.
 
 Defined results: a null source is a source of its own, last in order; a null
-text has size 0 and is never taken; an empty table gives no rows. Sources are
-assumed few (one summary row each passes the driver); documents are not.
+text has size 0 and is never taken; rows of one id stand next to each other, by
+size; an empty table gives no rows. Of each source a summary row passes the
+driver (100,000 sources are tested); documents do not.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.llm.common import stored
+from stratum.llm.common import copies, let, stored
 
 #: What separates words: space and the ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,21 +72,41 @@ def share_out(sizes: Sequence[int], weights: Sequence[float], total: float, max_
     return targets
 
 
-def inverse_demand(schedule: Schedule, q: Column) -> Column:
-    """t with F(t) = q for the schedule's scaled running integral F: on each
-    piece F is a quadratic, solved in closed form."""
-    whole = integral(schedule)
-    out, below = F.lit(1.0), whole
+PIECES = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("t0", "span", "w0", "slope", "below", "upto")]))
+
+
+def pieces(schedule: Schedule) -> list[tuple[float, ...]]:
+    """(t0, span, w0, slope, below, upto) of each piece between two knots:
+    where it begins, how long it is, its weight there and how that grows, and
+    the integral up to its begin and end."""
+    out, below = [], integral(schedule)
     for (t0, w0), (t1, w1) in reversed(list(zip(schedule, schedule[1:]))):
         area = (t1 - t0) * (w0 + w1) / 2
         below -= area
-        need = F.greatest(q * whole - F.lit(below), F.lit(0.0))  # area asked for inside this piece
-        slope = (w1 - w0) / (t1 - t0)
+        out.append((float(t0), float(t1 - t0), float(w0), float((w1 - w0) / (t1 - t0)), float(below), float(below + area)))
+    return out[::-1]
+
+
+def inverse_demand(schedule: Schedule, q: Column) -> Column:
+    """t with F(t) = q for the schedule's scaled running integral F."""
+    names = PIECES.elementType.names
+    table = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, piece))) for piece in pieces(schedule)))
+    return _inverse(q * integral(schedule), table)
+
+
+def _inverse(asked: Column, table: Column) -> Column:
+    """The time at which the integral of the pieces in ``table`` is ``asked``:
+    on each piece it is a quadratic, solved in closed form."""
+
+    def solved(p: Column) -> Column:
+        need = F.greatest(asked - p["below"], F.lit(0.0))  # area asked for inside this piece
         # w0*x + slope*x^2/2 = need; this form of the root also holds for slope 0
-        root = F.sqrt(F.greatest(F.lit(w0 * w0) + 2 * slope * need, F.lit(0.0)))
-        x = F.when(root + w0 > 0, 2 * need / (root + w0)).otherwise(F.lit(0.0))
-        out = F.when(q * whole <= F.lit(below + area), F.lit(float(t0)) + F.least(x, F.lit(t1 - t0))).otherwise(out)
-    return out
+        root = F.sqrt(F.greatest(p["w0"] * p["w0"] + 2 * p["slope"] * need, F.lit(0.0)))
+        x = F.when(root + p["w0"] > 0, 2 * need / (root + p["w0"])).otherwise(F.lit(0.0))
+        return p["t0"] + F.least(x, p["span"])
+
+    first = F.get(F.filter(table, lambda p: asked <= p["upto"]), F.lit(0))
+    return F.coalesce(let(first, solved), F.lit(1.0))
 
 
 def allot(
@@ -93,45 +116,45 @@ def allot(
     text: str = "text",
     source: str = "source",
     max_passes: int = 3,
-    bucket_rows: int = 50_000,
+    bucket_rows: int = 5_000,
 ) -> DataFrame:
     """One row per document: the id, source, size, source_size, target and
     ``passes``, the array of (pass, taken, position) in which the mix takes it:
     the pass from 0, the words taken in it and its training time.
     ``schedule_of(rank)`` is the schedule of the source with that rank by code
     point, null last."""
-    sized = docs.select(F.col(id).alias("__id"), F.col(source).cast("string").alias("__source"), word_count(F.col(text)).alias("__size"))
     spark = docs.sparkSession
-    stats = sized.groupBy("__source").agg(F.sum("__size").alias("size"), F.count("*").alias("n")).collect()
+    sized = docs.select(F.col(id).alias("__id"), F.col(source).cast("string").alias("__source"), word_count(F.col(text)).alias("__size"))
+    sized = stored(sized.groupBy("__source", "__id", "__size").agg(F.count("*").alias("__n")), "mix-sizes")
+    words = F.sum(F.col("__size") * F.col("__n"))
+    stats = sized.groupBy("__source").agg(words.alias("size"), F.count("*").alias("n")).collect()
     stats.sort(key=lambda r: (r["__source"] is None, (r["__source"] or "").encode()))
     schedules = [schedule_of(i) for i in range(len(stats))]
     weights = [integral(s) for s in schedules]
     targets = share_out([r["size"] for r in stats], weights, sum(r["size"] for r in stats), max_passes)
     bits = max(0, math.ceil(math.log2(max([1, *(r["n"] for r in stats)]) / bucket_rows)))
-    plan = F.broadcast(
-        spark.createDataFrame(
-            [(r["__source"], i, r["size"], t) for i, (r, t) in enumerate(zip(stats, targets))],
-            T.StructType([T.StructField("__s", T.StringType()), T.StructField("__rank", T.IntegerType()),
-                          T.StructField("__source_size", T.LongType()), T.StructField("__target", T.DoubleType())]),
-        )
+    plan = spark.createDataFrame(
+        [(_name(r["__source"]), r["size"], t, w, pieces(s)) for r, t, w, s in zip(stats, targets, weights, schedules)],
+        T.StructType([T.StructField("__name", T.StringType()), T.StructField("__source_size", T.LongType()), T.StructField("__target", T.DoubleType()),
+                      T.StructField("__whole", T.DoubleType()), T.StructField("__pieces", PIECES)]),
     )
     key = F.md5(F.coalesce(F.col("__id").cast("string"), F.lit("")).cast("binary"))
-    ordered = sized.withColumn("__key", key).withColumn(
-        "__bucket", F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint").bitwiseAND((1 << 32) - (1 << (32 - bits)))
-    )
-    keys = ["__source", "__bucket"]
-    totals = ordered.groupBy(keys).agg(F.sum("__size").alias("__sum"))
+    bucket = F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint").bitwiseAND((1 << 32) - (1 << (32 - bits)))
+    # a name that is never null: equal joins can then use the windows' partitioning
+    name = F.coalesce(F.concat(F.lit("s"), F.col("__source")), F.lit("n"))
+    ordered = sized.withColumn("__key", key).withColumn("__bucket", bucket).withColumn("__name", name)
+    keys = ["__name", "__bucket"]
+    totals = ordered.groupBy(keys).agg(words.alias("__sum"))
     # one row per source and bucket: a few rows for every bucket_rows documents
-    before = totals.select(
-        F.col("__source").alias("__bs"),
-        F.col("__bucket").alias("__bb"),
-        (F.sum("__sum").over(Window.partitionBy("__source").orderBy("__bucket")) - F.col("__sum")).alias("__before"),
-    )
+    before = (F.sum("__sum").over(Window.partitionBy("__name").orderBy("__bucket")) - F.col("__sum")).alias("__before")
+    before = totals.select(*keys, before).join(plan, "__name")
     in_bucket = Window.partitionBy(keys).orderBy("__key", "__id", "__size")
-    rows = ordered.withColumn("__upto", F.sum("__size").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.join(before, F.col("__source").eqNullSafe(F.col("__bs")) & (F.col("__bucket") == F.col("__bb")))
-    rows = rows.join(plan, F.col("__source").eqNullSafe(F.col("__s")))
-    start = F.col("__before") + F.col("__upto") - F.col("__size")
+    upto = F.sum(F.col("__size") * F.col("__n")).over(in_bucket.rowsBetween(Window.unboundedPreceding, 0))
+    rows = ordered.withColumn("__upto", upto).join(before, keys)
+    begin = F.col("__before") + F.col("__upto") - F.col("__size") * F.col("__n")
+    rows = rows.select("__id", "__source", "__size", "__n", begin.alias("__begin"), "__source_size", "__target", "__whole", "__pieces")
+    rows = copies(rows, "__n", "__copy")
+    start = F.col("__begin") + F.col("__copy") * F.col("__size")
     passes = F.transform(
         F.sequence(F.lit(0), F.lit(max_passes - 1)),
         lambda p: F.struct(
@@ -141,16 +164,10 @@ def allot(
             .alias("taken"),
         ),
     )
-    by_schedule: dict[tuple, list[int]] = {}
-    for i, s in enumerate(schedules):
-        by_schedule.setdefault(tuple((float(t), float(w)) for t, w in s), []).append(i)
 
     def timed(p: Column) -> Column:
         q = (start + p["pass"] * F.col("__source_size") + p["taken"]) / F.col("__target")
-        position = F.lit(None).cast("double")
-        for schedule, ranks in by_schedule.items():
-            position = F.when(F.col("__rank").isin(ranks), inverse_demand(schedule, q)).otherwise(position)
-        return F.struct(p["pass"].alias("pass"), p["taken"].alias("taken"), position.alias("position"))
+        return F.struct(p["pass"].alias("pass"), p["taken"].alias("taken"), _inverse(q * F.col("__whole"), F.col("__pieces")).alias("position"))
 
     return rows.select(
         F.col("__id").alias(id),
@@ -162,6 +179,10 @@ def allot(
     )
 
 
+def _name(source: str | None) -> str:
+    return "n" if source is None else "s" + source
+
+
 def mixed(docs: DataFrame, schedule_of: Callable[[int], Schedule], id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` in training order, each as often as the mix takes
     it: a pass counts if it takes at least half of the document's words, and

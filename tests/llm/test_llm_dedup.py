@@ -160,7 +160,7 @@ def test_pipeline_against_brute_force(spark):
     assert {r.doc_id for r in raw} - {r.doc_id for r in named} == {-1, -2, -3}
     classes = brute.near_classes([(r.doc_id, r.text) for r in named])
     assert {r.doc_id for r in unlike} == set(classes.values())
-    left = {i: kept.decode(errors="ignore") for i, *_, kept in brute.repeats([(r.doc_id, r.text) for r in unlike])}
+    left = {i: kept.decode(errors="ignore") for i, *_, kept in brute.repeats([(r.doc_id, r.text) for r in unlike], corpus_pipeline.PASSAGE_BYTES)}
     assert {r.doc_id: r.text for r in cut} == left
     assert all(r.n_chars == len(r.text) for r in cut)
     times = collections.Counter(r.doc_id for r in mixed)
@@ -173,6 +173,30 @@ def test_pipeline_against_brute_force(spark):
         assert r.token_ids == library.encode_ordinary(left[r.doc_id]) and r.round_trip and r.n_tokens == len(r.token_ids)
 
 
+def test_training_order_survives_the_files(spark):
+    """Sorted by place, the last stage's rows are in the order of the mix."""
+    import corpus_pipeline
+
+    from stratum.llm import mixing
+    from stratum.llm.common import stored
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = stored(corpus_pipeline.mix(spark, docs, SF_SMALL), "test-order")
+        assert mixed.columns == docs.columns and len(mixed.inputFiles()) > 3
+        rows = corpus_pipeline.encode(spark, mixed.withColumn("train_row", F.lit("clash")), SF_SMALL).select("doc_id", "train_part", "train_row").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    got = [r.doc_id for r in sorted(rows, key=lambda r: (r.train_part, r.train_row))]
+    plan = mixing.allot(docs, mixing.curriculum).collect()
+    want = sorted((p["position"], r.doc_id) for r in plan for p in r.passes if 2 * p["taken"] >= r["size"])
+    assert got == [i for _, i in want] and len(set(got)) < len(got)
+    apart = corpus_pipeline.encode(spark, docs.limit(5).cache(), SF_SMALL)  # not read from files
+    assert apart.count() == 5 and len({(r.train_part, r.train_row) for r in apart.collect()}) == 5
+
+
 def test_null_ids_take_part(spark):
     rng = random.Random(5)
 

@@ -46,6 +46,57 @@ def test_hot_group_is_split_and_odd_rows(spark):
     assert sharding.shard(spark.createDataFrame([], "doc_id bigint, text string"), 8).count() == 0
 
 
+def test_one_id_for_a_third_of_all_rows(spark):
+    """Equal rows and null ids are dealt out like others, in all resources."""
+    rows = [(7, "the same text " * 5)] * 3000 + [(10000 + i, f"own text {i} " * (1 + i % 9)) for i in range(6000)] + [(None, f"x{i} y") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    out = sharding.shard(docs, 8).collect()
+    assert collections.Counter((r.doc_id, r.size) for r in out) == collections.Counter((i, len(t) + 16) for i, t in rows)
+    check_shards(out, 8, 0.05)
+    for weight in (lambda r: r.tokens, lambda r: 1):
+        totals = collections.Counter()
+        for r in out:
+            totals[r.shard] += weight(r)
+        assert max(totals.values()) <= 1.05 * sum(totals.values()) / 8
+    assert max(collections.Counter(r.shard for r in out if r.doc_id == 7).values()) < 1000
+    again = sharding.shard(docs.repartition(3), 8).collect()
+    assert collections.Counter(map(tuple, out)) == collections.Counter(map(tuple, again))
+    mix = mixing.allot(docs.withColumn("source", F.lit("s")), mixing.curriculum, bucket_rows=100).collect()
+    words = sum(len(WORD.findall(t)) for _, t in rows)
+    assert len(mix) == len(rows) and sum(p["taken"] for r in mix for p in r.passes) == words
+
+
+def brute_pack(items, shards):
+    """A plain loop: by falling size, to the shard of highest dot product
+    among those in which it fits, else to the one with most bytes left."""
+    totals = [sum(v) or 1 for v in zip(*items)]
+    share = [[x / t * shards for x, t in zip(item, totals)] for item in items]
+    left, out = [[1.0] * 3 for _ in range(shards)], {}
+    for i in sorted(range(len(items)), key=lambda i: (-max(share[i]), i)):
+        fits = [s for s in range(shards) if all(r >= x - 1e-12 for r, x in zip(left[s], share[i]))]
+        at = max(fits, key=lambda s: (sum(r * x for r, x in zip(left[s], share[i])), -s)) if fits else max(range(shards), key=lambda s: (left[s][0], -s))
+        left[at] = [r - x for r, x in zip(left[at], share[i])]
+        out[i] = at
+    return [out[i] for i in range(len(items))]
+
+
+def test_packing_equals_a_plain_loop():
+    import random
+
+    rng = random.Random(4)
+    for shards in (1, 3, 8):
+        items = [(rng.randrange(1, 64) * 2**20, rng.randrange(64) * 2**18, rng.randrange(1, 64)) for _ in range(200)]
+        assert sharding.pack(items, shards) == brute_pack(items, shards)
+    assert sharding.pack([], 4) == []
+
+
+def test_many_sources(spark):
+    docs = spark.range(120_000).select(F.col("id").alias("doc_id"), F.lit("two words").alias("text"), F.concat(F.lit("src"), (F.col("id") % 100_000).cast("string")).alias("source"))
+    out = mixing.allot(docs, mixing.curriculum).select("size", "target", "passes")
+    got = out.agg(F.count("*").alias("n"), F.sum(F.aggregate("passes", F.lit(0).cast("bigint"), lambda n, p: n + p["taken"])).alias("taken")).first()
+    assert got.n == 120_000 and 0 < got.taken <= 240_000
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_match_sql(spark, name):
     import os
