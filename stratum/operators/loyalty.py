@@ -27,37 +27,43 @@ customer is spread over many reducers by its order ids), then on
 carries at most one row per customer per task). The thresholds filter the
 aggregate before the join.
 
-The join runs on ``(customer_id, salt)``. Customer keys with many rows are
-found by one more partial-then-final count and split over several salts (see
-:func:`loyal_customers`). A plain join on ``customer_id`` would get no help
-from AQE's skew split, because the aggregate side would reuse its hash
-partitioning instead of being shuffled for the join. The strategy is
-otherwise left to AQE, which broadcasts a side only when its measured size is
-under ``spark.sql.autoBroadcastJoinThreshold``.
+A customer key with many rows (a placeholder id, repeated loads) would make one
+reduce task of the join as large as itself, and AQE could not split it, because
+the aggregate side reuses its hash partitioning instead of being shuffled for
+the join. So keys that hold at least a given share of the customer rows are
+found first (see :func:`hot_keys`) and the join has two parts: all other
+customers are shuffled once, to where the aggregate already lies, and rows of
+hot keys stay where they are and meet a broadcast of the aggregate's rows of
+these keys. There are at most ``1 / hot_share`` such keys, whatever the size of
+the tables, which bounds the broadcast. With or without hot keys the orders are
+shuffled twice and the customers once: three hash exchanges.
 """
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import quote
 from .clean import drop_nulls
 
 # Default loyalty thresholds.
 DEFAULT_MIN_ORDERS = 3
 DEFAULT_MIN_TOTAL_SPEND = 200.0
 
-# A customer key with at least this many rows is salted in the join.
-DEFAULT_HOT_KEY_ROWS = 1_000_000
-# Below this a salt costs more than it spreads; also bounds the salts of a key.
-MIN_HOT_KEY_ROWS = 50
-# At most so many keys are salted: 12 bytes each in the broadcast.
-MAX_HOT_KEYS = 100_000
-SALT = "__salt"
-SALTS = "__n_salts"
+# A customer key with at least this share of all customer rows is hot.
+DEFAULT_HOT_SHARE = 1 / 1000
+# Smaller shares would make a larger broadcast than a shuffle is worth.
+MIN_HOT_SHARE = 1 / 100_000
+# Counters of the frequency sketch for each key it may have to find: estimates
+# are off by less than 3.5 / 8 of the share.
+TRACKED = 8
+# Key types that the sketch counts; keys of other types are joined unsplit.
+SKETCH_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampType, T.StringType)
 
 KEY = "customer_id"
 CUSTOMER_COLUMNS = (KEY, "customer_code", "first_name", "last_name", "country")
@@ -89,29 +95,30 @@ def order_aggregate(orders: DataFrame) -> DataFrame:
     )
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``key, n_salts``: keys holding at least ``min_rows`` rows, and into how
-    many salted partitions each is split (``ceil(rows / min_rows)``).
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
+    """The values of ``key`` that hold at least ``share`` of the rows with a
+    key, as a frequency sketch of the whole column sees them.
 
-    At most ``max_keys`` keys, those with most rows (ties by key), which bounds
-    the frame that is broadcast; the join treats any further key like an
-    ordinary one, so the bound never costs a row. The count is a
-    partial-then-final aggregate, so a key with a third of all rows is
-    collapsed map-side before the shuffle.
+    One pass over one column: each task sketches its rows in bounded memory and
+    the sketches are merged, so nothing is shuffled by key. A key with clearly
+    that share is always found; near the share a key may be missed or found,
+    which only decides how its rows are joined. At most ``1 / share`` values.
     """
-    m = int(min_rows)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= F.lit(m))
-    return counts.orderBy(F.desc("n"), key).limit(max_keys).select(
-        key, F.expr(f"CAST((n + {m - 1}) div {m} AS INT)").alias(SALTS)  # integer ceil
-    )
+    dtype = df.schema[key].dataType
+    if not isinstance(dtype, SKETCH_TYPES) or (isinstance(dtype, T.StringType) and dtype.simpleString() != "string"):
+        return []
+    k = math.floor(1 / share)
+    top = F.expr(f"approx_top_k({quote(key)}, {k}, {TRACKED * k})")
+    row = df.where(F.col(key).isNotNull()).agg(F.count(key).alias("n"), top.alias("top")).first()
+    return sorted(r["item"] for r in row["top"] or () if r["count"] >= share * row["n"])
 
 
-def _check_hot_key_rows(value: int | None) -> int | None:
+def _check_hot_share(value: float | None) -> float | None:
     if value is None:
         return None
-    if isinstance(value, bool) or not isinstance(value, int) or value < MIN_HOT_KEY_ROWS:
-        raise ValueError(f"hot_key_rows must be None or an integer of at least {MIN_HOT_KEY_ROWS}, not {value!r}")
-    return value
+    if isinstance(value, bool) or not isinstance(value, (int, float)) or not MIN_HOT_SHARE <= value <= 1:
+        raise ValueError(f"hot_share must be None or a number from {MIN_HOT_SHARE} to 1, not {value!r}")
+    return float(value)
 
 
 def loyal_customers(
@@ -119,28 +126,23 @@ def loyal_customers(
     orders: DataFrame,
     min_orders: int = DEFAULT_MIN_ORDERS,
     min_total_spend: float | Decimal = DEFAULT_MIN_TOTAL_SPEND,
-    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    hot_share: float | None = DEFAULT_HOT_SHARE,
 ) -> DataFrame:
     """Customers with at least ``min_orders`` distinct orders and at least
     ``min_total_spend`` in total (both bounds inclusive).
 
-    ``hot_key_rows=None`` joins on ``customer_id`` alone, without salting
-    (for a customer table known to hold each key once).
-
-    A customer key with ``hot_key_rows`` or more customer rows (a placeholder
-    id, repeated loads of one customer) is split over several join partitions:
-    its customer rows get a salt in ``[0, n_salts)`` and its single aggregate
-    row is repeated once per salt, so the join on ``(customer_id, salt)``
-    pairs each customer row with exactly one copy.
-
-    The salt is a hash of the row's five columns and its input partition id.
-    It does not depend on row order, so a re-run task (lost executor, fetch
-    failure) sends every row to the same reducer as the first attempt;
-    identical copies of a row still spread, because they sit in many input
-    partitions. Columns beyond the five are never read. Names resolve as
-    Spark resolves them (without regard to case by default).
+    Customer keys with at least ``hot_share`` of all customer rows are joined
+    by a broadcast of their aggregate rows instead of a shuffle; to find them,
+    one job sketches the customers' key column when this is called.
+    ``hot_share=None`` skips that (for a customer table known to hold each key
+    once).
+
+    The hot keys are fixed values in the plan, so a task that runs again (lost
+    executor, fetch failure) sends every row the same way as the first attempt.
+    Columns beyond the five are never read. Names resolve as Spark resolves
+    them (without regard to case by default).
     """
-    hot_key_rows = _check_hot_key_rows(hot_key_rows)
+    hot_share = _check_hot_share(hot_share)
     customers = drop_nulls(customers.select(*(F.col(n).alias(n) for n in CUSTOMER_COLUMNS)), [KEY])
     orders = orders.select(*(F.col(n).alias(n) for n in ORDER_COLUMNS))
     key_type = customers.schema[KEY].dataType
@@ -152,29 +154,19 @@ def loyal_customers(
     spend = _spend_literal(min_total_spend, agg.schema["total_spend"].dataType)
     agg = agg.filter((F.col("order_count") >= F.lit(int(min_orders))) & (F.col("total_spend") >= spend))
 
-    if hot_key_rows is None:
-        return _select_output(customers.alias("c").join(agg.alias("o"), on=KEY, how="inner"))
-
-    hot = F.broadcast(hot_keys(customers, KEY, hot_key_rows))
-    row_hash = F.xxhash64(F.spark_partition_id(), *CUSTOMER_COLUMNS)
-    c = (
-        customers.join(hot, on=KEY, how="left")
-        .withColumn(
-            SALT,
-            F.when(F.col(SALTS).isNull(), F.lit(0)).otherwise(
-                F.pmod(row_hash, F.col(SALTS).cast("bigint")).cast("int")
-            ),
-        )
-        .drop(SALTS)
-        .alias("c")
-    )
-    o = (
-        agg.join(hot, on=KEY, how="left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1)))
-        .drop(SALTS)
-        .alias("o")
+    keys = [] if hot_share is None else hot_keys(customers, KEY, hot_share)
+    if not keys:
+        return _joined(customers, agg)
+    hot = F.broadcast(customers.sparkSession.createDataFrame([(k,) for k in keys], T.StructType([T.StructField(KEY, key_type)])))
+    # an inner join is not pushed below the aggregate, so both parts read the same exchange
+    hot_agg = F.broadcast(agg.join(hot, on=KEY, how="inner"))
+    return _joined(customers.join(hot, on=KEY, how="left_anti"), agg).unionByName(
+        _joined(customers.join(hot, on=KEY, how="left_semi"), hot_agg)
     )
-    return _select_output(c.join(o, on=[KEY, SALT], how="inner"))
+
+
+def _joined(customers: DataFrame, agg: DataFrame) -> DataFrame:
+    return _select_output(customers.alias("c").join(agg.alias("o"), on=KEY, how="inner"))
 
 
 def _select_output(joined: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from ..operators.loyalty import DEFAULT_HOT_KEY_ROWS
+from ..operators.loyalty import DEFAULT_HOT_SHARE
 from ..sinks.tables import DEFAULT_FORMAT
 from .raw import ingest_raw
 from .refined import build_loyal_customers
@@ -88,16 +88,16 @@ class LoyalCustomersJob:
         *,
         spark: SparkSession | None = None,
         table_format: str = DEFAULT_FORMAT,
-        hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+        hot_share: float | None = DEFAULT_HOT_SHARE,
     ):
         self.config = dict(config or {})
         self.metadata_path = metadata_path
         self.table_format = table_format
-        self.hot_key_rows = hot_key_rows
+        self.hot_share = hot_share
         self.spec = load_spec(_session(spark), metadata_path)
         require(self.spec, REFINED_ROOT_KEYS, "Metadata")
 
     def run(self, spark: SparkSession | None = None) -> str | None:
         return build_loyal_customers(
-            _session(spark), self.spec, table_format=self.table_format, hot_key_rows=self.hot_key_rows
+            _session(spark), self.spec, table_format=self.table_format, hot_share=self.hot_share
         )

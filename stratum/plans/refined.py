@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import SparkSession
 
-from ..operators.loyalty import DEFAULT_HOT_KEY_ROWS, DEFAULT_MIN_ORDERS, DEFAULT_MIN_TOTAL_SPEND, loyal_customers
+from ..operators.loyalty import DEFAULT_HOT_SHARE, DEFAULT_MIN_ORDERS, DEFAULT_MIN_TOTAL_SPEND, loyal_customers
 from ..sinks.tables import DEFAULT_FORMAT, create_schema, write_table
 from ..sources.catalog import read_sources, schema_name, table_name
 from .spec import validate_refined_spec
@@ -25,14 +25,14 @@ def build_loyal_customers(
     spec: Mapping[str, Any],
     *,
     table_format: str = DEFAULT_FORMAT,
-    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    hot_share: float | None = DEFAULT_HOT_SHARE,
 ) -> str | None:
     """Run a refined spec; return the target table name (``None`` if disabled).
 
     ``transformation.loyalty_min_orders`` / ``loyalty_min_total_spend`` set
     the thresholds (defaults 3 and 200.0). The mode defaults to append.
-    ``hot_key_rows``: customer keys with at least this many rows are salted
-    in the join (``None``: no salting).
+    ``hot_share``: customer keys with at least this share of the rows are
+    joined by a broadcast (``None``: no such split).
     """
     validate_refined_spec(spec)
     if not spec.get("enabled", False):
@@ -53,6 +53,6 @@ def build_loyal_customers(
         frames[ORDERS_ALIAS],
         min_orders=int(rules.get("loyalty_min_orders", DEFAULT_MIN_ORDERS)),
         min_total_spend=rules.get("loyalty_min_total_spend", DEFAULT_MIN_TOTAL_SPEND),
-        hot_key_rows=hot_key_rows,
+        hot_share=hot_share,
     )
     return write_table(loyal, table_name(tgt["catalog"], tgt["schema"], tgt["table"]), mode, table_format)

@@ -93,37 +93,45 @@ def test_duplicate_customer_rows_repeat_output(spark):
     assert loyal_customers(c, o, min_orders=1).count() == 2
 
 
-def test_hot_keys_and_salt_counts(spark):
+def test_hot_keys_by_share(spark):
     from stratum.operators.loyalty import hot_keys
 
-    rows = [(1,)] * 25 + [(2,)] * 10 + [(3,)] * 9 + [(None,)] * 30
-    df = spark.createDataFrame(rows, "customer_id long")
-    got = {r.customer_id: r["__n_salts"] for r in hot_keys(df, "customer_id", 10).collect()}
-    assert got == {1: 3, 2: 1, None: 3}  # ceil(25/10), ceil(10/10); key 3 is below the bound
+    rows = [(1,)] * 250 + [(2,)] * 100 + [(3,)] * 30 + [(1000 + i,) for i in range(620)] + [(None,)] * 3000
+    df = spark.createDataFrame(rows, "customer_id long").repartition(6)
+    assert hot_keys(df, "customer_id", 0.1) == [1, 2]  # of the 1,000 rows with a key
+    assert hot_keys(df, "customer_id", 0.2) == [1]
+    assert hot_keys(df, "customer_id", 0.5) == []
+    assert hot_keys(df.limit(0), "customer_id", 0.1) == []
+    assert hot_keys(df.selectExpr("cast(customer_id as string) AS customer_id"), "customer_id", 0.1) == ["1", "2"]
+    assert hot_keys(df.selectExpr("struct(customer_id) AS customer_id"), "customer_id", 0.1) == []  # not counted
 
 
-def test_salting_keeps_results(spark):
-    c = customers(spark, [(1, "C1", None, None, None)] * 107 + [(2, "C2", None, None, None)])
-    o = orders(spark, [("1", 1, d("500.00"), None), ("2", 2, d("500.00"), None)])
-    plain = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=10**6).collect())
-    salted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=50).collect())
-    unsalted = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_key_rows=None).collect())
-    assert plain == salted == unsalted and len(salted) == 108
+@pytest.mark.parametrize("n", [10, 3000])
+def test_hot_keys_are_bounded_by_the_share(spark, n):
+    from stratum.operators.loyalty import hot_keys
 
+    df = spark.range(n).selectExpr("id % 5 AS customer_id")
+    assert hot_keys(df, "customer_id", 0.2) == [0, 1, 2, 3, 4]
+    assert len(hot_keys(spark.range(n).toDF("customer_id"), "customer_id", 0.001)) <= 1000
 
-@pytest.mark.parametrize("value", [0, -1, 1, 49, 2.5, True, "100"])
-def test_hot_key_rows_is_checked(spark, value):
-    c, o = customers(spark, [(1, "C1", None, None, None)]), orders(spark, [("1", 1, d("500.00"), None)])
-    with pytest.raises(ValueError, match="hot_key_rows"):
-        loyal_customers(c, o, min_orders=1, hot_key_rows=value)
 
+def test_hot_split_keeps_results(spark):
+    c = customers(spark, [(1, "C1", None, None, None)] * 107 + [(2, "C2", None, None, None), (3, "C3", None, None, None)] + [(4, "C4", None, None, None)] * 90)
+    o = orders(spark, [("1", 1, d("500.00"), None), ("2", 2, d("500.00"), None), ("4", 3, d("1.00"), None), ("9", 4, d("900.00"), None)])
+    plain = sorted(tuple(r) for r in loyal_customers(c, o, min_orders=1, hot_share=None).collect())
+    assert len(plain) == 108
+    for share in (0.9, 0.3, 0.001):
+        out = loyal_customers(c, o, min_orders=1, hot_share=share)
+        assert tuple(out.columns) == OUTPUT_COLUMNS and sorted(tuple(r) for r in out.collect()) == plain
+    text_keys = c.selectExpr("cast(customer_id as string) AS customer_id", "customer_code", "first_name", "last_name", "country")
+    assert loyal_customers(text_keys, o, min_orders=1, hot_share=0.1).count() == 108
 
-def test_hot_keys_are_bounded(spark):
-    from stratum.operators.loyalty import hot_keys
 
-    df = spark.createDataFrame([(i % 5,) for i in range(60)] + [(7,)] * 20, "customer_id long")
-    got = {r.customer_id for r in hot_keys(df, "customer_id", 10, max_keys=2).collect()}
-    assert got == {7, 0}  # those with most rows; further keys stay unsplit
+@pytest.mark.parametrize("value", [0, -1, 1.5, 1e-9, True, "0.1", float("nan")])
+def test_hot_share_is_checked(spark, value):
+    c, o = customers(spark, [(1, "C1", None, None, None)]), orders(spark, [("1", 1, d("500.00"), None)])
+    with pytest.raises(ValueError, match="hot_share"):
+        loyal_customers(c, o, min_orders=1, hot_share=value)
 
 
 def test_wide_customers_and_key_case(spark):
@@ -133,5 +141,5 @@ def test_wide_customers_and_key_case(spark):
         "customer_id AS CUSTOMER_ID", "customer_code", "first_name", "last_name", "country", "map('a', 1) AS extra"
     )
     o = orders(spark, [("1", 1, d("500.00"), None)]).withColumnRenamed("customer_id", "Customer_Id")
-    out = loyal_customers(c, o, min_orders=1, hot_key_rows=50)
+    out = loyal_customers(c, o, min_orders=1, hot_share=0.5)
     assert out.columns[0] == "customer_id" and out.count() == 60

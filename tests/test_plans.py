@@ -23,10 +23,9 @@ def test_loyalty_plan(spark):
     assert "IsNotNull(o_custkey)" in plan and "IsNotNull(o_orderkey)" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
     # Skew-safe distinct count: first exchange on (customer, order), then on
-    # customer, each after a partial aggregate; two more aggregates count
-    # customer rows per key to find hot keys.
+    # customer, each after a partial aggregate.
     assert "hashpartitioning(customer_id" in plan and ", order_id" in plan
-    assert plan.count("HashAggregate") >= 6
+    assert plan.count("HashAggregate") == 4
     assert "partial_sum" in plan and "partial_count(distinct" in plan
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
@@ -107,9 +106,26 @@ def test_hot_customer_does_not_skew_the_aggregate(spark):
     assert ratio(naive) > 3
 
 
-def test_hot_customer_rows_are_salted_in_the_join(spark):
+def _hash_exchanges(node, out):
+    """The hash exchanges that an executed plan ran, reused ones not counted."""
+    name = node.getClass().getSimpleName()
+    if name == "ShuffleExchangeExec" and "hashpartitioning" in node.outputPartitioning().toString():
+        out.append(node.outputPartitioning().toString())
+    if name == "ReusedExchangeExec":
+        return out
+    if name.endswith("QueryStageExec"):
+        _hash_exchanges(node.plan(), out)
+    children = node.children()
+    for i in range(children.size()):
+        _hash_exchanges(children.apply(i), out)
+    return out
+
+
+def test_hot_customer_rows_are_not_shuffled(spark):
     """A third of the customer rows share one key: with size-based broadcasts
-    off (the 100 TB shape), the salted join still spreads them out."""
+    off (the 100 TB shape), its rows stay out of the shuffle, the others go
+    where the aggregate lies, and the plan has three hash exchanges with or
+    without hot keys."""
     from pyspark.sql import functions as F
 
     from stratum.operators.loyalty import loyal_customers
@@ -126,27 +142,28 @@ def test_hot_customer_rows_are_salted_in_the_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        salted = loyal_customers(hot, tpch.orders(spark, SF_ORACLE), hot_key_rows=50)
-        plain = loyal_customers(hot, tpch.orders(spark, SF_ORACLE), hot_key_rows=10**9)
-        got, want = salted.collect(), plain.collect()
-        salted_sizes = _shuffle_sizes(salted._jdf.queryExecution().executedPlan().executedPlan(), [])
-        plain_sizes = _shuffle_sizes(plain._jdf.queryExecution().executedPlan().executedPlan(), [])
+        split = loyal_customers(hot, tpch.orders(spark, SF_ORACLE))
+        plain = loyal_customers(hot, tpch.orders(spark, SF_ORACLE), hot_share=None)
+        got, want = split.collect(), plain.collect()
+        split_plan, plain_plan = (x._jdf.queryExecution().executedPlan().executedPlan() for x in (split, plain))
+        split_sizes, plain_sizes = _shuffle_sizes(split_plan, []), _shuffle_sizes(plain_plan, [])
+        assert len(_hash_exchanges(split_plan, [])) == len(_hash_exchanges(plain_plan, [])) == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))  # same rows either way
+    assert "ReusedExchange" in split_plan.toString()  # the orders are aggregated once
 
     def worst(sizes):
         ratios = []
-        for k, per_partition in sizes:
-            if "__salt" in k:
-                xs = sorted(per_partition)
-                ratios.append(xs[-1] / xs[len(xs) // 2])
+        for _, per_partition in sizes:
+            xs = sorted(per_partition)
+            ratios.append(xs[-1] / xs[len(xs) // 2])
         return max(ratios)
 
-    assert worst(plain_sizes) > 3  # unsalted: the hot key's partition dominates
-    assert worst(salted_sizes) < 2.5
+    assert worst(plain_sizes) > 3  # unsplit: the hot key's partition dominates
+    assert worst(split_sizes) < 1.5
 
 
 def test_hot_split_reads_five_customer_columns(spark):
@@ -157,8 +174,7 @@ def test_hot_split_reads_five_customer_columns(spark):
     from stratum.operators.loyalty import hot_keys, loyal_customers
     from stratum.sources import tpch
 
-    hot = hot_keys(tpch.hot_key_customers(spark, SF_ORACLE), "customer_id", 100).collect()
-    assert [(r.customer_id, r["__n_salts"] > 1) for r in hot] == [(1, True)]
+    assert hot_keys(tpch.hot_key_customers(spark, SF_ORACLE), "customer_id", 0.001) == [1]
     wide = tpch.table(spark, SF_ORACLE, "customer").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_code"), F.col("c_address").alias("first_name"),
         F.col("c_phone").alias("last_name"), F.col("c_mktsegment").alias("country"), "c_acctbal", "c_nationkey",
@@ -168,7 +184,7 @@ def test_hot_split_reads_five_customer_columns(spark):
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_code"), F.col("c_name").alias("first_name"),
         F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("country"), "c_nationkey",
     )
-    out = loyal_customers(wide, tpch.orders(spark, SF_ORACLE), hot_key_rows=100)
+    out = loyal_customers(wide, tpch.orders(spark, SF_ORACLE))
     schemas = [line for line in out._jdf.queryExecution().toString().splitlines() if "ReadSchema" in line]
     text = out._jdf.queryExecution().executedPlan().toString() + "\n".join(schemas)
     assert "c_nationkey" not in text and "c_acctbal" not in text
