@@ -5,6 +5,7 @@ from .tables import (
     OVERWRITE,
     create_empty_table,
     create_schema,
+    drop_table,
     normalise_mode,
     table_exists,
     write_table,
@@ -15,6 +16,7 @@ __all__ = [
     "OVERWRITE",
     "create_empty_table",
     "create_schema",
+    "drop_table",
     "normalise_mode",
     "table_exists",
     "write_table",

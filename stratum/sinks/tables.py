@@ -5,11 +5,19 @@ repo pass ``parquet`` because no Delta jar is installed here.
 
 Overwrite replaces data and schema, and a write that fails leaves the old table
 as it was. On transactional formats it is one ``mode("overwrite")`` write. For
-the others Spark would drop the old table before it writes, so the new rows go
-into a staged table of the same schema first; only when they are all there is
-the old table dropped and the staged one renamed. A failed write removes its
-staged table. (Between the drop and the rename, two catalog calls, the name is
-absent but the staged table holds everything.) A frame that reads the table it
+the others Spark would drop the old table before it writes, so a managed table
+is kept in versions: the new rows go into a folder of their own beside the old
+one, and once they are all there one ``ALTER TABLE ... SET LOCATION`` makes them
+the table. A reader that looks the table up at any moment finds the old rows or
+the new ones. The version just replaced is kept, so readers that have begun can
+end; the next overwrite deletes it, :func:`drop_table` too. A step that fails
+leaves the old rows in place and removes its own folder.
+
+A location cannot carry another schema. Where that changes (or the table is
+external, partitioned or bucketed), the new rows go into a staged table first;
+only when they are all there is the old table dropped and the staged one renamed
+(between these two catalog calls the name is absent, but the staged table holds
+everything). A frame that reads the table it
 overwrites is fine. Appends match columns by name; an extra column or an unsafe
 type change raises.
 """
@@ -20,6 +28,7 @@ import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..functions.names import name_parts, quote
 
@@ -28,6 +37,8 @@ logger = logging.getLogger(__name__)
 DEFAULT_FORMAT = "delta"
 # Formats whose overwrite keeps the old version until it commits.
 TRANSACTIONAL_FORMATS = ("delta", "iceberg", "hudi")
+# Fixed value: the table property that names the folder of the version before.
+PREVIOUS = "stratum.previous.location"
 APPEND = "append"
 OVERWRITE = "overwrite"
 
@@ -58,8 +69,77 @@ def create_empty_table(df: DataFrame, name: str, table_format: str = DEFAULT_FOR
     df.limit(0).write.format(table_format).mode(OVERWRITE).saveAsTable(name)
 
 
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    """What ``DESCRIBE TABLE EXTENDED`` says of a table as a whole."""
+    rows = [(r[0], r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    at = next(i for i, (key, _) in enumerate(rows) if key == "# Detailed Table Information")
+    return dict(rows[at + 1 :]) | {"partitioned": str(any(key == "# Partition Information" for key, _ in rows[:at]))}
+
+
+def _previous_version(spark: SparkSession, name: str) -> str | None:
+    """The folder of the version before the present one, if it is kept."""
+    for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
+        if row["key"] == PREVIOUS:
+            return row["value"]
+    return None
+
+
+def _delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _column_types(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
 def _replace_table(df: DataFrame, name: str, table_format: str) -> None:
-    """Write ``df`` beside ``name`` and swap the two once it is complete."""
+    """Make ``df`` the rows of ``name``, which stays readable all the time if
+    its schema stays."""
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        df.write.format(table_format).mode("error").saveAsTable(name)
+        return
+    about = _described(spark, name)
+    versioned = (
+        about.get("Type") == "MANAGED"
+        and about.get("Provider", "").lower() == table_format.strip().lower()
+        and about["partitioned"] == "False"
+        and "Num Buckets" not in about
+        and _column_types(spark.table(name).schema) == _column_types(df.schema)
+    )
+    if versioned:
+        _switch_version(df, name, table_format, about["Location"])
+    else:
+        _swap_staged(df, name, table_format)
+
+
+def _switch_version(df: DataFrame, name: str, table_format: str, old: str) -> None:
+    """Write ``df`` into a new folder beside the table's and move the table
+    there by one catalog call."""
+    spark = df.sparkSession
+    before = _previous_version(spark, name)
+    new = f"{old.rstrip('/').rsplit('/', 1)[0]}/{name_parts(name)[-1]}__v{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.format(table_format).mode("error").save(new)
+        # named before the switch: should that fail, the present folder is named, which is never deleted
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_literal(PREVIOUS)} = {_literal(old)})")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(new)}")
+    except BaseException:
+        if _described(spark, name)["Location"].rstrip("/") == old.rstrip("/"):
+            _delete_folder(spark, new)
+        raise
+    if before and before.rstrip("/") != old.rstrip("/"):
+        _delete_folder(spark, before)
+
+
+def _swap_staged(df: DataFrame, name: str, table_format: str) -> None:
+    """Write ``df`` as a table beside ``name`` and put it in its place once it
+    is complete."""
     spark = df.sparkSession
     *schema, table = name_parts(name)
     staged = ".".join(quote(p) for p in [*schema, f"{table}__staged_{uuid.uuid4().hex[:12]}"])
@@ -68,11 +148,22 @@ def _replace_table(df: DataFrame, name: str, table_format: str) -> None:
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_table(spark, name)
     # a rename target is given without its catalog
     spark.sql(f"ALTER TABLE {staged} RENAME TO {'.'.join(quote(p) for p in [*schema, table][-2:])}")
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop ``name``, if it exists, with the older version that an overwrite
+    has kept."""
+    if not table_exists(spark, name):
+        return
+    location, before = _described(spark, name).get("Location", ""), _previous_version(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if before and before.rstrip("/") != location.rstrip("/"):
+        _delete_folder(spark, before)
+
+
 def write_table(
     df: DataFrame,
     name: str,

@@ -72,6 +72,95 @@ def test_failed_overwrite_keeps_the_old_table(spark, scratch_schema):
     assert [x.name for x in spark.catalog.listTables(scratch_schema)] == ["t"]
 
 
+def folders(spark, schema):
+    import os
+
+    where = spark.sql(f"DESCRIBE SCHEMA {schema}").where("info_name = 'Location'").first()[1].removeprefix("file:")
+    return sorted(os.listdir(where))
+
+
+def test_a_polling_reader_always_finds_the_table(spark, scratch_schema):
+    """While one thread overwrites again and again, another one reads: every
+    read gives the rows of one version, none fails."""
+    import threading
+
+    t = name(scratch_schema)
+    write_table(spark.range(100).withColumn("v", F.lit(0)), t, "append", "parquet")
+    stop, seen, failed = threading.Event(), [], []
+
+    def poll():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(spark.table(t).agg(F.count("*"), F.count_distinct("v"), F.max("v")).first()))
+            except Exception as error:  # noqa: BLE001
+                failed.append(error)
+
+    thread = threading.Thread(target=poll)
+    thread.start()
+    try:
+        for v in range(1, 8):
+            write_table(spark.range(100).withColumn("v", F.lit(v)), t, "overwrite", "parquet")
+    finally:
+        stop.set()
+        thread.join()
+    assert not failed and {x[:2] for x in seen} == {(100, 1)} and len({x[2] for x in seen}) > 2
+    assert [x[2] for x in seen] == sorted(x[2] for x in seen)
+    assert spark.table(t).first().v == 7
+    assert len(folders(spark, scratch_schema)) == 2  # the present version and the one before
+
+
+@pytest.mark.parametrize("step", ["SET LOCATION", "SET TBLPROPERTIES"])
+def test_failure_between_the_steps_leaves_the_old_rows(spark, scratch_schema, monkeypatch, step):
+    t = name(scratch_schema)
+    write_table(spark.range(5), t, "append", "parquet")
+    write_table(spark.range(6), t, "overwrite", "parquet")
+    before = folders(spark, scratch_schema)
+    real = type(spark).sql
+
+    def broken(self, query, *args, **kwargs):
+        if step in query:
+            raise RuntimeError("lost the catalog")
+        return real(self, query, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "sql", broken)
+        with pytest.raises(RuntimeError, match="lost the catalog"):
+            write_table(spark.range(7), t, "overwrite", "parquet")
+    assert spark.table(t).count() == 6 and folders(spark, scratch_schema) == before
+    write_table(spark.range(8), t, "overwrite", "parquet")
+    write_table(spark.range(1), t, "append", "parquet")
+    assert spark.table(t).count() == 9
+
+
+def test_versions_go_with_the_table(spark, scratch_schema):
+    from stratum.sinks.tables import drop_table
+
+    t = name(scratch_schema)
+    for n in (3, 4, 5):
+        write_table(spark.range(n), t, "overwrite", "parquet")
+    reader = spark.table(t)  # of the version of five rows
+    write_table(spark.range(6), t, "overwrite", "parquet")
+    assert reader.count() in (5, 6)
+    write_table(spark.sql("SELECT 'other' AS s"), t, "overwrite", "parquet")  # another schema
+    assert spark.table(t).collect()[0].s == "other" and folders(spark, scratch_schema) == ["t"]
+    write_table(spark.sql("SELECT 'next' AS s"), t, "overwrite", "parquet")
+    drop_table(spark, t)
+    drop_table(spark, t)
+    assert not table_exists(spark, t) and folders(spark, scratch_schema) == []
+    write_table(spark.range(2), t, "append", "parquet")
+    assert spark.table(t).count() == 2
+
+
+def test_overwrite_of_external_and_partitioned_tables(spark, scratch_schema, scratch_dir):
+    t, p = name(scratch_schema), name(scratch_schema, "p")
+    spark.range(3).write.format("parquet").option("path", scratch_dir).saveAsTable(t)
+    spark.range(4).withColumn("k", F.lit(1)).write.format("parquet").partitionBy("k").saveAsTable(p)
+    write_table(spark.range(7), t, "overwrite", "parquet")
+    write_table(spark.range(8).withColumn("k", F.lit(2)), p, "overwrite", "parquet")
+    assert spark.table(t).count() == 7 and spark.table(p).count() == 8
+    assert spark.read.parquet(scratch_dir).count() == 3  # an external table's files are not this library's
+
+
 def test_write_survives_a_failed_task(spark, scratch_schema):
     """A task dies on its first attempt (as on a lost executor); the retry
     and the commit protocol still give every row exactly once."""
