@@ -2,47 +2,47 @@
 
 Contracts were written for an engine where a bad cast or an unparsable date
 gives NULL. Spark 4 runs with ANSI mode on, where the same expression fails the
-whole job. Declared types use ``try_cast``; for free text,
-
-* :func:`lenient_sql` analyses a free-text SQL expression with ANSI mode off.
-  A classic Spark session analyses ``withColumn`` eagerly and the chosen
-  evaluation mode is stored in the analysed expressions, so the plan keeps the
-  lenient behaviour after the setting is restored. On Spark Connect analysis
-  is lazy; there, write contracts with ``try_`` functions instead.
-
-The setting is session-wide for the few milliseconds of that analysis: toggles
-made here are serialised by a lock, but another thread analysing a query in
-the same session at that moment would also see ANSI off.
+whole job. Declared types use ``try_cast``; free text goes through
+:func:`lenient_select`, which makes leniency a property of the expressions and
+never changes a setting of the session:
+
+* On a classic session the expressions are analysed in a private copy of the
+  session with ANSI mode off (temporary views, functions and other settings are
+  the same). Spark stores the evaluation mode in the analysed expressions, so
+  the plan that comes back is lenient exactly there, also in streaming
+  micro-batches. Other threads of the session never see ANSI off.
+* On Spark Connect, where plans are analysed on the server, the text itself is
+  rewritten to the ``try_`` forms of its functions (:func:`sqltext.try_forms`).
+  Operators have no such form in text: write ``try_divide(a, b)`` for ``a / b``.
 """
 
 from __future__ import annotations
 
-import threading
-from contextlib import contextmanager
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from .names import quote
+from .sqltext import try_forms
 
 _ANSI_KEY = "spark.sql.ansi.enabled"
-_conf_lock = threading.Lock()
 
 
-@contextmanager
-def ansi_disabled(spark: SparkSession):
-    """Run the body with ``spark.sql.ansi.enabled=false``, then restore it."""
-    with _conf_lock:
-        previous = spark.conf.get(_ANSI_KEY, None)
-        spark.conf.set(_ANSI_KEY, "false")
-        try:
-            yield
-        finally:
-            if previous is None:
-                spark.conf.unset(_ANSI_KEY)
-            else:
-                spark.conf.set(_ANSI_KEY, previous)
+def lenient_select(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
+    """``df.selectExpr(*expressions)`` in which bad values give NULL."""
+    if not hasattr(df, "_jdf"):  # Spark Connect
+        return df.selectExpr(*(try_forms(e) for e in expressions))
+    spark = df.sparkSession
+    java = spark._jsparkSession
+    of_rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows
+    private = java.cloneSession()
+    private.conf().set(_ANSI_KEY, "false")
+    lenient = DataFrame(of_rows(private, df._jdf.queryExecution().analyzed()), spark).selectExpr(*expressions)
+    return DataFrame(of_rows(java, lenient._jdf.queryExecution().analyzed()), spark)
 
 
 def lenient_sql(df: DataFrame, name: str, sql: str) -> DataFrame:
-    """``df.withColumn(name, expr(sql))`` analysed with ANSI mode off."""
-    with ansi_disabled(df.sparkSession):
-        return df.withColumn(name, F.expr(sql))
+    """``df`` with the column ``name`` replaced (or added) by the lenient
+    value of ``sql``."""
+    columns = [f"{sql} AS {quote(name)}" if c == name else quote(c) for c in df.columns]
+    return lenient_select(df, columns if name in df.columns else [*columns, f"{sql} AS {quote(name)}"])

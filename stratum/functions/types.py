@@ -10,6 +10,8 @@ from __future__ import annotations
 import logging
 import re
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 logger = logging.getLogger(__name__)
@@ -60,3 +62,38 @@ def spark_type(declared: str) -> T.DataType | str:
         return T.DecimalType(*DEFAULT_DECIMAL)
     logger.warning("Unknown contract type %r, passing it to Spark as is", declared)
     return t
+
+
+# (source type, target type) -> whether Spark casts the one to the other at
+# all. A rule of Spark's, the same in every session and mode.
+_castable: dict[tuple[str, str], bool] = {}
+
+_REFUSED = "DATATYPE_MISMATCH"
+
+
+def castable(spark: SparkSession, source: T.DataType, target: str) -> bool:
+    """Whether Spark casts values of type ``source`` to the type named
+    ``target`` (a date is never cast to an int).
+
+    Each pair of types is tried once and remembered. The plan of a typed NULL
+    is explained, which reports a refusal as text, so nothing is raised or
+    logged on the way; types whose text SQL doesn't read are tried on an empty
+    frame."""
+    pair = (source.simpleString(), target)
+    if pair not in _castable:
+        if isinstance(source, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType)):
+            _castable[pair] = _casts(spark.createDataFrame([], T.StructType([T.StructField("v", source)])), target)
+        else:
+            plan = spark.sql(f"EXPLAIN SELECT try_cast(CAST(NULL AS {pair[0]}) AS {target})").collect()
+            _castable[pair] = not any(_REFUSED in line[0] for line in plan)
+    return _castable[pair]
+
+
+def _casts(empty: DataFrame, target: str) -> bool:
+    try:
+        empty.selectExpr(f"try_cast(v AS {target})")
+    except AnalysisException as refused:
+        if _REFUSED not in (refused.getCondition() or ""):
+            raise
+        return False
+    return True

@@ -9,7 +9,8 @@ A contract is an ordered list of column rules::
 Semantics (kept from the reference behaviour):
 
 * Rules apply in list order; a later ``transform_sql`` sees the results of
-  earlier rules.
+  earlier rules. (Rules that don't read each other's columns share a
+  projection, see :func:`_schedule`; the results are those of list order.)
 * ``transform_sql`` *replaces* the cast: the declared type is then not
   enforced. It is analysed leniently, so a bad date gives NULL instead of an
   error under ANSI mode.
@@ -31,20 +32,20 @@ Semantics (kept from the reference behaviour):
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.lenient import lenient_sql
+from ..functions.lenient import lenient_select
 from ..functions.names import quote
-from ..functions.types import spark_type
+from ..functions.sqltext import is_generator, names_in
+from ..functions.types import castable, spark_type
 
 logger = logging.getLogger(__name__)
 
@@ -101,81 +102,97 @@ def _type_sql(declared: str) -> str:
     return t if isinstance(t, str) else t.simpleString()
 
 
-def _cast_sql(df: DataFrame, name: str, declared: str) -> str:
+def _cast_sql(spark: SparkSession, name: str, source: T.DataType, declared: str) -> str:
     """``try_cast`` of a column; typed NULL where Spark refuses the pair of
     types altogether (a date as an int). Text casts to every declared type, so
-    only typed columns are tried."""
+    only typed columns are looked up."""
     target = _type_sql(declared)
-    cast = f"try_cast({quote(name)} AS {target})"
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return cast
-    try:
-        df.selectExpr(cast)
-    except AnalysisException as refused:
-        if "DATATYPE_MISMATCH" not in (refused.getCondition() or ""):
-            raise
-        logger.warning("Column %s cannot be cast to %s: every value becomes NULL", name, target)
-        return f"CAST(NULL AS {target})"
-    return cast
+    if isinstance(source, T.StringType) or castable(spark, source, target):
+        return f"try_cast({quote(name)} AS {target})"
+    logger.warning("Column %s cannot be cast to %s: every value becomes NULL", name, target)
+    return f"CAST(NULL AS {target})"
 
 
 def _snapshot_names(i: int) -> tuple[str, str]:
     return f"__contract_in_{i}", f"__contract_out_{i}"
 
 
+def _schedule(rules: Sequence[ContractColumn], columns: Sequence[str]) -> list[int]:
+    """The projection (1, 2, ...) in which each rule runs, so that every rule
+    sees what it would see in list order.
+
+    All expressions of a projection read the values before it. So a rule comes
+    after the last earlier rule that writes a column it reads or writes, and
+    not before an earlier rule that reads the column it writes. What a rule
+    reads is told from the words of its text (never too little). A rule that
+    makes several rows of one has a projection of its own, with all earlier
+    rules before and all later ones behind it."""
+    by_word: dict[str, list[str]] = {}
+    for c in columns:
+        by_word.setdefault(c.lower(), []).append(c)
+    written, read = dict.fromkeys(columns, 0), dict.fromkeys(columns, 0)
+    floor, last, out = 1, 0, []
+    for rule in rules:
+        reads = [rule.name]
+        if rule.transform_sql:
+            words = names_in(rule.transform_sql)
+            reads = list(columns) if words is None else [c for w in words for c in by_word.get(w, ())]
+        at = max(floor, written[rule.name] + 1, read[rule.name], *(written[c] + 1 for c in reads))
+        if rule.transform_sql and is_generator(rule.transform_sql):
+            at = last + 1
+            floor = at + 1
+        written[rule.name] = at
+        for c in reads:
+            read[c] = max(read[c], at)
+        last = max(last, at)
+        out.append(at)
+    return out
+
+
 def _apply_rules(df: DataFrame, rules: Iterable[ContractColumn], snapshots: bool = False) -> DataFrame:
-    """Apply rules in order.
+    """Apply rules with the results of list order.
 
-    Consecutive casts go into one projection (each reads only its own
-    column); a transform, or a second rule for a column already in the
-    pending batch, flushes the batch first, so every rule sees the results of
-    the rules before it. A batch is one ``selectExpr`` call, so a contract
-    with hundreds of columns costs a handful of round trips to the JVM, not
-    several per column.
+    Rules that don't depend on each other share a projection, which is one
+    ``selectExpr`` call: a contract of hundreds of independent casts and
+    transforms costs a handful of round trips to the JVM, not several a column.
 
     With ``snapshots`` the value of each present column just before and just
     after its rule is kept in ``__contract_in_<i>`` / ``__contract_out_<i>``
-    (for the report); the snapshots ride in the same batches.
+    (for the report); the snapshots ride in the same projections.
     """
     columns = list(df.columns)
-    present = set(columns)
-    pending: dict[str, str] = {}  # column name -> SQL expression
-
-    def flush(frame: DataFrame) -> DataFrame:
-        if not pending:
-            return frame
-        select = [f"{pending[c]} AS {quote(c)}" if c in pending else quote(c) for c in columns]
-        added = [c for c in pending if c not in present]
-        select += [f"{pending[c]} AS {quote(c)}" for c in added]
-        columns.extend(added)
-        present.update(added)
-        pending.clear()
-        return frame.selectExpr(*select)
-
+    present: list[tuple[int, ContractColumn]] = []
     for i, rule in enumerate(rules):
-        if rule.name not in present:
-            if rule.required:
-                raise ValueError(f"Contract requires column {rule.name!r}, which the input lacks")
-            logger.warning("Skipping column %s: not in the input", rule.name)
-            continue
-        before, after = _snapshot_names(i)
-        if rule.name in pending:
-            df = flush(df)
-        if rule.transform_sql:
-            if snapshots:
-                pending[before] = quote(rule.name)
-            df = flush(df)
-            df = lenient_sql(df, rule.name, rule.transform_sql)
-            if snapshots:
-                pending[after] = quote(rule.name)
-                pending.setdefault(rule.name, quote(rule.name))  # a later rule on it flushes first
+        if rule.name in columns:
+            present.append((i, rule))
+        elif rule.required:
+            raise ValueError(f"Contract requires column {rule.name!r}, which the input lacks")
         else:
-            cast = _cast_sql(df, rule.name, rule.type)
-            pending[rule.name] = cast
+            logger.warning("Skipping column %s: not in the input", rule.name)
+    steps = _schedule([rule for _, rule in present], columns)
+    extra: list[str] = []  # snapshot columns so far
+    for step in range(1, max(steps, default=0) + (2 if snapshots else 1)):
+        types = {f.name: f.dataType for f in df.schema.fields}
+        changed: dict[str, str] = {}
+        added: dict[str, str] = {}
+        lenient = False
+        for (i, rule), at in zip(present, steps):
+            before, after = _snapshot_names(i)
+            if snapshots and at == step - 1:
+                added[after] = quote(rule.name)
+            if at != step:
+                continue
             if snapshots:
-                pending[before] = quote(rule.name)
-                pending[after] = cast
-    return flush(df)
+                added[before] = quote(rule.name)
+            lenient |= bool(rule.transform_sql)
+            changed[rule.name] = rule.transform_sql or _cast_sql(df.sparkSession, rule.name, types[rule.name], rule.type)
+        if not changed and not added:
+            continue
+        select = [f"{changed[c]} AS {quote(c)}" if c in changed else quote(c) for c in columns]
+        select += [quote(c) for c in extra] + [f"{sql} AS {quote(c)}" for c, sql in added.items()]
+        extra += added
+        df = lenient_select(df, select) if lenient else df.selectExpr(*select)
+    return df
 
 
 def not_null_predicate(names: Iterable[str]) -> Column | None:
@@ -209,7 +226,8 @@ def contract_report(df: DataFrame, columns: Contract) -> DataFrame:
 
     The report never raises for a missing required column: it reports it.
     All counts come from one global aggregate (partial counts per partition,
-    then a single tiny merge), so the cost is one scan of the input.
+    then a single tiny merge), so the cost is one scan of the input; planning
+    grows with the number of columns, not its square.
     """
     rules = parse_contract(columns)
     present = set(df.columns)
@@ -239,9 +257,8 @@ def contract_report(df: DataFrame, columns: Contract) -> DataFrame:
     counts = applied.selectExpr(*[f"CAST({e} AS BIGINT) AS m{k}" for k, (_, _, e) in enumerate(metrics)])
     pairs = ", ".join(f"{k}, m{k}" for k in range(len(metrics)))
     by_index = counts.selectExpr(f"stack({len(metrics)}, {pairs}) AS (k, n_rows)")
-    # Names come from a small local table (one row per metric), not from SQL
-    # string literals, so any column name survives any literal-escaping mode.
-    labels = df.sparkSession.createDataFrame(
-        [(k, c, r) for k, (c, r, _) in enumerate(metrics)], "k int, column_name string, rule string"
-    )
-    return by_index.join(F.broadcast(labels), "k").select("column_name", "rule", "n_rows")
+    # Names are one JSON literal: any column name survives any literal-escaping
+    # mode. (A join with a table of names would have the optimizer infer filters
+    # from every snapshot column, which takes a minute for 300 columns.)
+    named = [F.get(F.from_json(F.lit(json.dumps([m[i] for m in metrics])), "array<string>"), F.col("k")) for i in (0, 1)]
+    return by_index.select(named[0].alias("column_name"), named[1].alias("rule"), "n_rows")
