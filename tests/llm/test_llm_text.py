@@ -3,7 +3,7 @@
 import collections
 
 from brute import measures
-from conftest import SF_ORACLE
+from conftest import SF_ORACLE, SF_SMALL
 from pyspark.sql import functions as F
 
 from stratum.llm import chat, langid, quality
@@ -51,6 +51,41 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= s <= 1 for _, s in got.values()) and got[4][0] in model.languages
 
 
+def plain_grams(text):
+    """All n-grams of a text, by slices of its bytes."""
+    data = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in b" " + text.lower().encode() + b" ")
+    grams = (data[i : i + size] for size in langid.SIZES for i in range(len(data) - size + 1))
+    return [g for g in grams if b"  " not in g]
+
+
+def test_filters_equal_exact_sets(spark):
+    """Exact sets of n-grams with the same thresholds: what a Bloom filter
+    adds to them is its rate of false positives, and the verdicts agree."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect() if r.text and r.lang]
+    model = langid.train(docs, max_docs=10**9)
+    counts = collections.defaultdict(collections.Counter)
+    for r in rows:
+        for g in plain_grams(r.text):
+            counts[r.lang, len(g)][g] += 1
+    rates = collections.defaultdict(dict)
+    for (lang, _), found in counts.items():
+        total = sum(found.values())
+        rates[lang].update({g: n / total for g, n in found.items() if n / total >= 1e-4})
+    most = {g: max(own.get(g, 0) for own in rates.values()) for own in rates.values() for g in own}
+    exact = {lang: {g for g, rate in own.items() if rate >= 0.5 * most[g]} for lang, own in rates.items()}
+    # with so many slots that no filter errs, shares of n-grams are those of the sets
+    wide = langid.train(docs, max_docs=10**9, slots_log2=26)
+    assert max(wide.false_rate) < 1e-6 and sorted(wide.languages) == sorted(exact) == sorted(model.languages)
+    texts = [r.text for r in rows] + ["the cat", "zzzz qqqq", "ça va"]
+    shares = [{lang: sum(g in own for g in plain_grams(t)) / max(1, len(plain_grams(t))) for lang, own in exact.items()} for t in texts]
+    for share, lang, score in zip(shares, *langid.predict_texts(texts, wide)):
+        assert abs(share[lang] - score) < 1e-3 and score >= max(share.values()) - 1e-3
+    # the production size: corrected shares are within a few n-grams of the exact ones
+    for share, lang, score in zip(shares[:-3], *langid.predict_texts(texts[:-3], model)):
+        assert abs(share[lang] - score) < 0.02 and share[lang] >= max(share.values()) - 0.02
+
+
 def test_training_bound_nulls_and_nothing_learned(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     some = langid.train(docs.withColumn("lang", F.when(F.col("lang") != "es", F.col("lang"))), max_docs=30)

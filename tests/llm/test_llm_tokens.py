@@ -1,6 +1,8 @@
 """Byte-level BPE and token counts against the tokenizer libraries."""
 
+import json
 import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -80,6 +82,28 @@ def test_counts_equal_the_library(docs):
         assert r.n_tokens == len(library.encode(r.text or "", add_special_tokens=False).ids), r.doc_id
 
 
+def test_caches_are_bounded_by_bytes():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        spec = file.read()
+    splitter = token_count.splitter_spec(json.loads(spec)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+    count = token_count.PieceCounter(spec, splitter, {"the": 1}, limit_bytes=20_000)
+    library, rng = Tokenizer.from_file(path), random.Random(3)
+    for n in (5, 30, token_count.LONGEST, token_count.LONGEST + 1, 1024):
+        text = " ".join("".join(rng.choice("abcdeé") for _ in range(n)) for _ in range(400))
+        assert count(text) == len(library.encode(text, add_special_tokens=False).ids)
+        held = {w for w in count.known if w != "the"}
+        assert sum(sys.getsizeof(w) + token_count.ENTRY_BYTES for w in held) <= 20_000
+        assert max(map(len, held)) <= token_count.LONGEST and count.known["the"] == 1
+
+
+def test_frequent_words_are_the_patterns_matches(spark):
+    rows = [(i, "The cat, the dog. " + f"rare{i} " + "x" * 500) for i in range(200)]
+    df = spark.createDataFrame(rows + [(-1, None), (-2, "")], "doc_id int, text string")
+    got = token_count.frequent_words(df, r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+", n=6)
+    assert set(got[:6]) >= {"the", "cat", "dog", ",", "."} and "x" * 500 not in got
+
+
 def test_query_op3(spark):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
