@@ -35,22 +35,6 @@ def require(data: Any, keys: Iterable[str], where: str) -> None:
             raise ValueError(f"{where}: no {key}")
 
 
-def check_table_sources(sources: Any, kinds: Iterable[str]) -> None:
-    """Raise one ``ValueError`` that lists everything wrong with a list of
-    catalog sources."""
-    kinds = tuple(kinds)
-    if not isinstance(sources, list) or not sources:
-        raise ValueError("A refined job needs at least one source in input_entity.sources")
-    wrong = []
-    for at, source in enumerate(sources):
-        kind = str(source.get("type") or "").strip().lower()
-        if kind not in kinds:
-            wrong.append(f"source {at}: type {kind!r} is none of {', '.join(kinds)}")
-        wrong += [f"source {at}: no {key}" for key in ("alias", "schema", "table") if not source.get(key)]
-    if wrong:
-        raise ValueError("; ".join(wrong))
-
-
 def source_kind(spec: Mapping[str, Any]) -> str:
     kind = (((spec.get("input_entity") or {}).get("source") or {}).get("type") or "").strip().lower()
     if kind not in (SOURCE_CSV, SOURCE_JDBC):

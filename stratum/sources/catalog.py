@@ -25,12 +25,25 @@ def schema_name(catalog: str | None, schema: str) -> str:
     return ".".join(quote(p) for p in (catalog, schema) if p)
 
 
+def check_table_sources(sources: Any) -> None:
+    """Raise one ``ValueError`` that lists everything wrong with a list of
+    catalog sources."""
+    if not isinstance(sources, list) or not sources:
+        raise ValueError("A refined job needs at least one source in input_entity.sources")
+    wrong = []
+    for at, source in enumerate(sources):
+        kind = str(source.get("type") or "").strip().lower()
+        if kind not in TABLE_SOURCE_TYPES:
+            wrong.append(f"source {at}: type {kind!r} is none of {', '.join(TABLE_SOURCE_TYPES)}")
+        wrong += [f"source {at}: no {key}" for key in ("alias", "schema", "table") if not source.get(key)]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+
+
 def read_sources(spark: SparkSession, sources: Sequence[Mapping[str, Any]]) -> dict[str, DataFrame]:
     """Each source's table by its alias; the list is checked as a whole first
-    (:func:`stratum.plans.spec.check_table_sources`)."""
-    from ..plans.spec import check_table_sources
-
-    check_table_sources(sources, TABLE_SOURCE_TYPES)
+    (:func:`check_table_sources`)."""
+    check_table_sources(sources)
     return {
         s["alias"]: spark.table(table_name(s.get("catalog"), s["schema"], s["table"]))
         for s in sources
