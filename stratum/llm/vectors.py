@@ -17,6 +17,16 @@ in this block. Pairs are never written out, and a bucket with a third of all
 rows is many blocks. Connected components then follow from the blocks' edges
 (at most one for each class and block) by repeated joins.
 
+Many vectors about one place would share a bucket in nearly every table, and
+all their parts would meet in each. So the classes of a bucket of several parts
+are first compared with one class of it, their lead: two vectors that both lie
+within half the threshold's angle of a third are near by the triangle
+inequality. Such a *ball* is counted as a whole, without comparing its members,
+a class is in one ball at most, and in every bucket the classes of its largest
+ball meet only the others. The lead step is repeated a few times for what is
+left; a bucket that is one ball costs its size, whatever that is. A wider
+cluster of n classes in no ball still costs n * n / ``block`` rows a table.
+
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors with a null label, have no links; vectors of different
 length are never linked; rows with equal ids are separate members of their
@@ -30,12 +40,14 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import stored
+from stratum.llm.common import forget, stored
 from stratum.llm.components import connected
 
 TABLES, HASHES, WIDTH = 72, 16, 2.0
 #: Buckets of up to so many classes are compared many at a time.
 SMALL = 16
+#: Lead steps; more find more balls, results are the same.
+ROUNDS = 4
 
 
 def _keys(vectors, tables: int, hashes: int, width: float, seed: int = 1):
@@ -79,8 +91,26 @@ def _key_batches(batches, *, tables: int, hashes: int, width: float):
             yield pa.RecordBatch.from_arrays([part.column("class"), lists], names=["class", "keys"])
 
 
-def _block(a, b, ka, kb, ca, cb, ma, mb, table: int, same: bool, threshold: float):
-    """One pair of parts of one bucket: (class, links, low) of its classes."""
+def _ball_batches(batches, *, radius: float):
+    """The classes whose cosine with their lead is ``radius`` at least."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        for start in range(0, batch.num_rows, 2000):
+            part = batch.slice(start, 2000)
+            own, lead = part.column("vector").to_pylist(), part.column("lead_vector").to_pylist()
+            near = np.zeros(part.num_rows, bool)
+            for size in {len(v) for v in own}:
+                at = [i for i, v in enumerate(own) if len(v) == size]
+                near[at] = np.einsum("ij,ij->i", _unit([own[i] for i in at]), _unit([lead[i] for i in at])) >= radius
+            inside = part.filter(pa.array(near))
+            yield pa.RecordBatch.from_arrays([inside.column("class"), inside.column("lead")], names=["class", "ball"])
+
+
+def _block(a, b, ka, kb, ca, cb, ma, mb, ba, bb, table: int, same: bool, threshold: float):
+    """One pair of parts of one bucket: (class, links, low) of its classes;
+    links inside a ball are left out."""
     import numpy as np
 
     links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -89,6 +119,7 @@ def _block(a, b, ka, kb, ca, cb, ma, mb, table: int, same: bool, threshold: floa
         hit = a[i : i + 512] @ b.T >= threshold
         if same:
             hit &= ca[i : i + 512, None] != cb[None, :]
+        hit &= (ba[i : i + 512, None] != bb[None, :]) | (bb < 0)[None, :]
         near[i : i + 512] = hit
         rows, cols = np.nonzero(hit)
         for j in range(0, len(rows), 1 << 16):
@@ -128,7 +159,7 @@ def _buckets(rows: dict, threshold: float):
     group = np.cumsum(new) - 1
     small = (size <= SMALL) & (rows["i"][start] == rows["j"][start])
     unit = _unit(rows["vector"])
-    keys, members, names = rows["keys"], rows["members"], rows["class"]
+    keys, members, names, balls = rows["keys"], rows["members"], rows["class"], rows["ball"]
     left = np.where(small[group], (start + size)[group] - 1 - np.arange(n), 0)  # rows that follow in the bucket
     for d in range(1, SMALL):
         x = np.flatnonzero(left >= d)
@@ -136,6 +167,7 @@ def _buckets(rows: dict, threshold: float):
             break
         y = x + d
         hit = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
+        hit &= (balls[x] != balls[y]) | (balls[x] < 0)
         x, y = x[hit], y[hit]
         met = (keys[x] == keys[y]) & (np.arange(keys.shape[1])[None, :] < rows["t"][x][:, None])
         first = ~met.any(axis=1)
@@ -147,11 +179,11 @@ def _buckets(rows: dict, threshold: float):
         side = rows["side"][own]
         parts = [np.flatnonzero(side != 1) + start[g], np.flatnonzero(side != 0) + start[g]]
         same = bool((side == 2).all())
-        pairs = ((v[parts[0]], v[parts[1]]) for v in (unit, keys, names, members))
+        pairs = ((v[parts[0]], v[parts[1]]) for v in (unit, keys, names, members, balls))
         yield from _block(*(v for pair in pairs for v in pair), int(rows["t"][start[g]]), same, threshold)
 
 
-NUMBERS = ("place", "dim", "t", "key", "i", "j", "side", "class", "members")
+NUMBERS = ("place", "dim", "t", "key", "i", "j", "side", "class", "members", "ball")
 
 
 def _bucket_batches(batches, *, threshold: float):
@@ -191,6 +223,34 @@ def _bucket_batches(batches, *, threshold: float):
         yield from found(waiting)
 
 
+BUCKET = ["label", "dim", "t", "key"]
+
+
+def _balls(classes: DataFrame, inside: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(class, ball): the classes that lie within half the threshold's angle of
+    their ball's lead; ``inside`` has the places (bucket, class) in buckets of
+    several parts."""
+    # a little inside of half the angle, so that no rounding links what is not near
+    radius = ((1 + threshold) / 2) ** 0.5 + 1e-9
+    vectors = classes.select("class", "vector")
+    balls = inside.sparkSession.createDataFrame([], "class bigint, ball bigint")
+    for step in range(ROUNDS):
+        leads = inside.groupBy(BUCKET).agg(F.min("class").alias("lead"), F.count("*").alias("n")).where(F.col("n") > block)
+        leads = stored(leads.drop("n"), f"vector-leads-{step}")
+        if leads.isEmpty():
+            break
+        # the same lead for as many as possible, whatever table they meet in
+        chosen = stored(inside.join(leads.hint("merge"), BUCKET).groupBy("class").agg(F.min("lead").alias("lead")), f"vector-led-{step}")
+        pairs = chosen.join(vectors.hint("merge"), "class").join(
+            vectors.select(F.col("class").alias("lead"), F.col("vector").alias("lead_vector")).hint("merge"), "lead"
+        )
+        found = stored(pairs.mapInArrow(partial(_ball_batches, radius=radius), "class bigint, ball bigint"), f"vector-balls-{step}")
+        balls = balls.unionByName(found)
+        forget(leads, chosen)
+        inside = stored(inside.join(found.select("class").hint("merge"), "class", "left_anti"), f"vector-left-{step}")
+    return balls
+
+
 def near_vectors(
     rows: DataFrame,
     id: str = "vec_id",
@@ -223,21 +283,47 @@ def near_vectors(
     keys = stored(classes.select("class", "vector").mapInArrow(run, "class bigint, keys array<bigint>"), "vector-keys")
     sized = classes.select("label", "class", F.size("vector").alias("dim"))
     spots = sized.join(keys, "class").select("label", "dim", "class", F.posexplode("keys").alias("t", "key"))
-    bucket = ["label", "dim", "t", "key"]
-    counts = spots.groupBy(bucket).agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / block).cast("int")
-    met = spots.join(counts, bucket).select(*bucket, "class", parts.alias("parts"), F.pmod(F.xxhash64("class"), parts).cast("int").alias("part"))
-    # a class meets its own part (side 2) and, as left or right, every other part of its bucket
+    # written first: a join of two shuffles is split by Spark where a bucket is very large
+    counts = stored(spots.groupBy(BUCKET).agg(F.count("*").alias("n")).where("n > 1"), "vector-buckets")
+    large = counts.where(F.col("n") > block).select(BUCKET)
+    inside = stored(spots.join(large.hint("merge"), BUCKET, "left_semi").select(*BUCKET, "class"), "vector-inside")
+    balls = _balls(classes, inside, threshold, block)
+    # each large bucket's largest ball
+    cores = inside.join(balls.hint("merge"), "class").groupBy(*BUCKET, "ball").agg(F.count("*").alias("n"))
+    cores = cores.groupBy(BUCKET).agg(F.max(F.struct("n", "ball")).alias("core")).select(*BUCKET, "core.ball", "core.n")
+    cores = cores.select(*BUCKET, F.col("ball").alias("core"), F.col("n").alias("core_n"))
+    none = F.lit(0).cast("bigint")
+    sizes = counts.join(cores, BUCKET, "left").select(
+        *BUCKET,
+        "core",
+        F.ceil(F.coalesce("core_n", none) / block).cast("int").alias("core_parts"),
+        F.ceil((F.col("n") - F.coalesce("core_n", none)) / block).cast("int").alias("rest_parts"),
+    )
+    sizes = stored(sizes, "vector-sizes")
+    # parts of the core are numbered first; of those it meets only what is not core
+    in_core = F.coalesce(F.col("ball") == F.col("core"), F.lit(False))
+    spread = lambda parts: F.pmod(F.xxhash64("class"), F.greatest(F.col(parts), F.lit(1))).cast("int")
+    met = spots.join(sizes.hint("merge"), BUCKET).join(balls.hint("merge"), "class", "left")
+    met = met.select(
+        *BUCKET,
+        "class",
+        F.when(in_core, F.col("core_parts")).otherwise(0).alias("from"),
+        (F.col("core_parts") + F.col("rest_parts") - 1).alias("to"),
+        F.when(in_core, spread("core_parts")).otherwise(F.col("core_parts") + spread("rest_parts")).alias("part"),
+    ).where(F.col("from") <= F.col("to"))
+    # a class meets its own part (side 2) and, as left or right, every other part
     others = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
+        F.sequence("from", "to"),
         lambda p: F.struct(
             F.least(p, F.col("part")).alias("i"),
             F.greatest(p, F.col("part")).alias("j"),
             F.when(p == F.col("part"), 2).when(F.col("part") < p, 0).otherwise(1).alias("side"),
         ),
     )
-    met = met.withColumn("pair", F.explode(others)).select(*bucket, "class", "pair.i", "pair.j", "pair.side")
-    data = classes.select("class", "vector", "members").join(keys, "class")
+    met = met.withColumn("pair", F.explode(others)).select(*BUCKET, "class", "pair.i", "pair.j", "pair.side")
+    ball = F.coalesce("ball", F.lit(-1).cast("bigint")).alias("ball")
+    data = classes.select("class", "vector", "members").join(keys, "class").join(balls, "class", "left")
+    data = data.select("class", "vector", "members", "keys", ball)
     order = ["place", "t", "key", "i", "j"]
     blocks = (
         met.withColumn("place", F.xxhash64("label", "dim"))
@@ -248,6 +334,11 @@ def near_vectors(
     )
     compare = partial(_bucket_batches, threshold=threshold)
     found = stored(blocks.mapInArrow(compare, "class bigint, links bigint, low bigint"), "vector-links")
+    # all members of a ball are linked with each other
+    placed = stored(balls.join(classes.select("class", "members"), "class"), "vector-placed")
+    whole = stored(placed.groupBy("ball").agg(F.sum("members").alias("all"), F.min("class").alias("low")), "vector-wholes")
+    balled = placed.join(whole.hint("merge"), "ball").select("class", (F.col("all") - F.col("members")).alias("links"), "low")
+    found = found.unionByName(balled)
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     edges = found.where("low != class").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct()
     roots = connected(edges)

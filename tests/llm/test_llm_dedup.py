@@ -126,6 +126,51 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_vectors(docs.limit(0)).count() == 0
 
 
+def test_ball_is_counted_without_comparing(spark):
+    """Buckets of many parts: tight clusters (a ball each, one with repeated
+    vectors), one as wide as the threshold, and single vectors."""
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centres = unit(rng.normal(size=(3, 24)))
+    tight = [unit(centres[i] + 0.01 * rng.normal(size=(n, 24))) for i, n in ((0, 150), (1, 60))]
+    wide = unit(centres[2] + 0.035 * rng.normal(size=(120, 24)))
+    near = unit(centres[0] + 0.035 * rng.normal(size=(60, 24)))
+    vectors_ = [*tight[0], *tight[0][:20], *tight[1], *wide, *near, *unit(rng.normal(size=(30, 24)))]
+    rows = [(i, v.tolist(), "a" if i % 7 else "b") for i, v in enumerate(vectors_)]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    links, classes = brute_links(rows)
+    exact = {i: (links[i], classes.find(i)) for i, *_ in rows}
+    for block in (10, 10_000):  # balls, none
+        got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(docs, block=block).collect()}
+        assert got == exact
+    assert max(links.values()) > 100
+
+
+def test_work_on_a_ball_grows_with_its_size(spark, monkeypatch):
+    """Twice as many vectors about one place give at most some twice as many
+    rows to compare, not four times."""
+    shipped = []
+    kind = type(spark.range(1))
+    compare = kind.mapInArrow
+
+    def counting(frame, run, schema):
+        if "place" in frame.columns:
+            shipped.append(frame.count())
+        return compare(frame, run, schema)
+
+    monkeypatch.setattr(kind, "mapInArrow", counting)
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=16)
+    centre /= np.linalg.norm(centre)
+    points = centre + 0.01 * rng.normal(size=(800, 16))
+    for n in (400, 800):
+        rows = [(i, points[i].tolist(), "a") for i in range(n)]
+        docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+        links = {r.n_links for r in vectors.near_vectors(docs, block=20).collect()}
+        assert links == {n - 1}
+    assert len(shipped) == 2 and shipped[1] <= 2.5 * shipped[0] + 100, shipped
+
+
 def test_components(spark):
     rng = random.Random(9)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(70)] + [(7, 7), (5, None)]
