@@ -35,7 +35,7 @@ a string of ``length`` bytes can only occur again inside a run of ``length``
 bytes or more that strings of the shorter length cover, so the rounds for
 ``length`` look at such runs alone.
 
-Texts are hashed about a megabyte at a time, a longer text on its own: its task
+Texts are hashed about 256 KB at a time, a longer text on its own: its task
 takes some 50 bytes of memory for each of its bytes. Tables written on the way
 are deleted as soon as nothing needs them.
 
@@ -56,7 +56,9 @@ from stratum.llm.common import first_of_each, forget, stored, text_slices
 from stratum.llm.rolling import Roller, fold, mix
 
 GROUP = 16
-SLICE = 1 << 20
+#: Bytes of text that are hashed at a time: a place takes some 20 arrays of 8
+#: bytes, and where every string is looked at, 48 bytes of output.
+SLICE = 1 << 18
 #: Shortest length for which anchors make sense.
 MIN_LENGTH = 50
 
